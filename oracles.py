@@ -27,6 +27,11 @@ def r3(x: str) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 3) AS DOUBLE)"
 
 
+def mean_of(x: str, digits: int) -> str:
+    """Rounded mean, nudged off the point exactly between two roundings."""
+    return f"round(avg({x}) + 5e-{digits + 4}, {digits})"
+
+
 DISCOUNT = """CASE WHEN offer_1 = 'True' THEN 0.05::DOUBLE WHEN offer_2 = 'True' THEN 0.10::DOUBLE
     WHEN offer_3 = 'True' THEN 0.15::DOUBLE WHEN offer_4 = 'True' THEN 0.20::DOUBLE
     WHEN offer_5 = 'True' THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END"""
@@ -192,7 +197,7 @@ def channel_means(key: str, measure: str, label: str, name: str, joins: str, dig
     columns = ["transaction_type", key] + ([measure] if measure != "total_price" else [])
     base = sales(columns, f"transaction_type, {key}, avg({measure}) AS m",
                  f"GROUP BY transaction_type, {key}")
-    return f"""SELECT {label}, {name} FROM (SELECT {key}, round(avg(m), {digits}) AS {name}
+    return f"""SELECT {label}, {name} FROM (SELECT {key}, {mean_of('m', digits)} AS {name}
         FROM ({base}) GROUP BY {key}) {joins}"""
 
 
@@ -237,7 +242,7 @@ def window(seconds: int, key: str, measures: str, delay: int | None = None) -> s
 
 def amounts(count: str, total: str, mean: str) -> str:
     return f"""count(*) AS {count}, round(sum("totalAmount"), 4) AS {total},
-        round(avg("totalAmount"), 6) AS {mean}"""
+        {mean_of('"totalAmount"', 6)} AS {mean}"""
 
 
 HOUR, DAY_S = 3600, 86400
@@ -462,7 +467,7 @@ def build() -> dict[str, str]:
             "product_key", "discount", "p_name AS product_name", "average_discount", PRODUCT, 6),
         "discount_by_product_weighted": f"""SELECT p_name AS product_name, average_discount FROM ({
             sales(["product_key", "discount"],
-                  "product_key, round(avg(discount), 6) AS average_discount",
+                  f"product_key, {mean_of('discount', 6)} AS average_discount",
                   "GROUP BY product_key")}) {PRODUCT}""",
         "total_sales_trend": sales(["date_key"], f"CAST(d AS VARCHAR) AS datee, {TOTAL}",
                                    f"{DATES} GROUP BY 1"),
@@ -471,7 +476,7 @@ def build() -> dict[str, str]:
         "avg_sales_per_customer": channel_means(
             "customer_key", "total_price", "c_name AS customer_name", "average_sales", CUSTOMER, 4),
         "avg_sales_per_customer_weighted": f"""SELECT c_name AS customer_name, average_sales FROM ({
-            sales(["customer_key"], "customer_key, round(avg(total_price), 4) AS average_sales",
+            sales(["customer_key"], f"customer_key, {mean_of('total_price', 4)} AS average_sales",
                   "GROUP BY customer_key")}) {CUSTOMER}""",
         "freq_customers": sales(["customer_key"],
                                 "c_name AS customer_name, count(*) AS total_transactions",

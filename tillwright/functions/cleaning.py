@@ -21,6 +21,9 @@ OFFERS = {
     "offer_5": 0.25,
 }
 
+# Texts that count as a set flag.
+TRUE_TEXTS = ("t", "true", "y", "yes", "1")
+
 # State names by code.
 STATES = {
     "AZ": "Arizona",
@@ -59,8 +62,9 @@ def discount(offers: Mapping[str, float] = OFFERS) -> Column:
 
     Kept in double: a 4-byte rate shifts the third decimal of the total price.
     """
+    # A set test, not a cast: a cast to boolean fails row by row on other texts.
     rates = [
-        F.when(F.col(flag).try_cast("boolean"), F.lit(float(rate)))
+        F.when(F.lower(F.trim(F.col(flag))).isin(*TRUE_TEXTS), F.lit(float(rate)))
         for flag, rate in offers.items()
     ]
     return F.coalesce(*rates, F.lit(0.0))

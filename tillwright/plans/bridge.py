@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.sources import readers
+
 # join name -> (table, columns renamed, condition, joins it needs)
 JOINS = {
     "orders": ("orders", {}, "o_orderkey = l_orderkey", ()),
@@ -139,8 +141,7 @@ def needed_joins(columns: Sequence[str], mapping: dict) -> list[str]:
     return wanted
 
 
-def _lines(spark: SparkSession, sf_dir: str, joins: Sequence[str]) -> DataFrame:
-    df = table(spark, sf_dir, "lineitem")
+def _lines(df: DataFrame, spark: SparkSession, sf_dir: str, joins: Sequence[str]) -> DataFrame:
     for join in joins:
         name, renamed, condition, _ = JOINS[join]
         other = table(spark, sf_dir, name).withColumnsRenamed(renamed)
@@ -153,7 +154,8 @@ def raw_transactions(
 ) -> DataFrame:
     """Raw merged transactions, all 27 columns or the requested ones."""
     columns = list(columns or RAW)
-    lines = _lines(spark, sf_dir, needed_joins(columns, RAW))
+    lines = readers.spread(table(spark, sf_dir, "lineitem"))
+    lines = _lines(lines, spark, sf_dir, needed_joins(columns, RAW))
     return lines.select(*[F.expr(RAW[c][0]).alias(c) for c in columns])
 
 
@@ -163,7 +165,8 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str, channel: str | None =
     ``channel`` keeps one channel's rows, which is that channel's fact.
     """
     mapped = [c for c in columns if c != "total_price"]
-    lines = _lines(spark, sf_dir, needed_joins(mapped, SALES))
+    lines = table(spark, sf_dir, "lineitem")
+    lines = _lines(lines, spark, sf_dir, needed_joins(mapped, SALES))
     if channel:
         online = F.expr(_ONLINE)
         lines = lines.where(online if channel == "online" else ~online)

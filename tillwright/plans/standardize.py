@@ -86,7 +86,7 @@ def standardize_strict(raw: DataFrame, drop_blank: tuple[str, ...] = ()) -> dict
     }
 
 
-def cleaned_layout(standardized: DataFrame, flag: DataFrame | None = None) -> DataFrame:
+def cleaned_layout(standardized: DataFrame) -> DataFrame:
     """Both channels in the 24 column layout that keeps the online flag."""
     flagged = standardized.withColumn(
         "is_online",
@@ -94,7 +94,9 @@ def cleaned_layout(standardized: DataFrame, flag: DataFrame | None = None) -> Da
     return shaping.in_order(flagged, schemas.CLEANED)
 
 
-def run(raw: DataFrame, base: str, run_stamp: str, group: str | None = None) -> dict[str, str]:
+def run(
+    raw: DataFrame, base: str, run_stamp: str, group: str | None = None, grain: str = "day"
+) -> dict[str, str]:
     """Standardize and store both channels; returns the table paths.
 
     ``run_stamp`` (``yyyyMMddHHmmss``) comes from the caller, so a repeated run
@@ -102,6 +104,6 @@ def run(raw: DataFrame, base: str, run_stamp: str, group: str | None = None) ->
     """
     cleaned = standardize(raw)
     return {
-        name: sinks.write_standardized(channel(cleaned, name), base, name, run_stamp, group)
+        name: sinks.write_standardized(channel(cleaned, name), base, name, run_stamp, group, grain)
         for name in LAYOUTS
     }

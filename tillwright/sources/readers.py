@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 SIDECAR = "_schema"
+MONTH = "transaction_month"  # directory column of tables stored by month
 
 
 def read_csv(
@@ -32,7 +33,12 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
 def read_with_sidecar(spark: SparkSession, path: str) -> DataFrame:
     """Parquet table read with the schema stored next to it, so no footer is merged."""
     schema = spark.read.parquet(f"{path}/{SIDECAR}").schema
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).drop(MONTH)
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A table kept by this package, without its directory-only column."""
+    return spark.read.parquet(path).drop(MONTH)
 
 
 def reconcile(df: DataFrame, expected: StructType, partitions: int | None = None) -> DataFrame:
@@ -52,6 +58,16 @@ def reconcile(df: DataFrame, expected: StructType, partitions: int | None = None
     return out.repartition(partitions) if partitions else out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input that arrives in fewer pieces than there are cores.
+
+    For work that is heavy per row. An input with enough pieces, as any large
+    one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_any(
     spark: SparkSession,
     path: str,
