@@ -232,7 +232,8 @@ def window(seconds: int, key: str, measures: str, delay: int | None = None) -> s
     closed = ""
     if delay is not None:
         closed = f"""HAVING start_ + {seconds} <=
-            (SELECT epoch(max(timestamp))::BIGINT FROM events_) - {delay}"""
+            (SELECT epoch(max(timestamp))::BIGINT FROM events_
+                WHERE "eventType" = 'purchase') - {delay}"""
     text = "strftime(make_timestamp({x} * 1000000), '%Y-%m-%d %H:%M:%S')"
     return f"""WITH {messages()} SELECT {key}, {text.format(x='start_')} AS window_start,
         {text.format(x=f'(start_ + {seconds})')} AS window_end, {measures}

@@ -18,6 +18,8 @@ LOCATION = ["shipping_street_name", "shipping_city", "shipping_state", "shipping
 
 def date_dim(spark: SparkSession, start: date | str, end: date | str) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
+    if str(start) > str(end):
+        raise ValueError(f"calendar ends before it starts: {start} to {end}")
     bounds = spark.range(1).select(
         F.lit(str(start)).cast("date").alias("first_day"),
         F.lit(str(end)).cast("date").alias("last_day"),
@@ -32,7 +34,8 @@ def date_dim_for(df: DataFrame, column: str) -> DataFrame:
 
 
 def _days(bounds: DataFrame) -> DataFrame:
-    days = bounds.where("first_day <= last_day").select(
+    # Bounds of an empty table are null; exploding null gives no days.
+    days = bounds.select(
         F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias("datee"))
     return days.select("datee", *calendar.parts("datee"))
 

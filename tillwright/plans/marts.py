@@ -145,15 +145,15 @@ def total_sales_by_state(sales: DataFrame, branch_dim: DataFrame, k: int = TOP)
     """
     online = F.col("transaction_type") == ONLINE
     per_place = sales.groupBy(
-        "transaction_type",
+        online.alias("online"),
         F.when(online, F.col("shipping_state")).alias("state"),
         F.when(~online, F.col("branch_key")).alias("branch_key"),
     ).agg(F.sum("total_price").alias("total_sales"))
-    states = per_place.where(online).select(F.col("state").alias("shipping_state"), "total_sales")
-    branches = per_place.where(~online).join(
-        branch_dim.select("branch_key", "branch_location"), "branch_key")
-    places = states.unionByName(
-        branches.select(F.col("branch_location").alias("shipping_state"), "total_sales"))
+    # One pass over the sales for both kinds; an offline place needs its branch.
+    branches = branch_dim.select("branch_key", "branch_location", F.lit(True).alias("known"))
+    placed = per_place.join(branches, "branch_key", "left").where("online OR known")
+    place = F.when(F.col("online"), F.col("state")).otherwise(F.col("branch_location"))
+    places = placed.select(place.alias("shipping_state"), "total_sales")
     return _largest_first(
         _regroup(places, "shipping_state"), "total_sales", "shipping_state").limit(k)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tillwright.functions import cleaning
 from tillwright.operators import channels, shaping
@@ -14,6 +15,12 @@ from tillwright.sources import schemas, sinks
 LAYOUTS = {channels.ONLINE: schemas.ONLINE, channels.OFFLINE: schemas.OFFLINE}
 
 
+def _day(raw: DataFrame, name: str) -> Column:
+    """Date column; text that is no date becomes null."""
+    is_date = isinstance(raw.schema[name].dataType, DateType)
+    return F.col(name) if is_date else F.try_to_date(F.col(name).cast("string"))
+
+
 def standardize(
     raw: DataFrame,
     email_mode: str = "lenient",
@@ -28,7 +35,7 @@ def standardize(
     price = cleaning.unit_price("unit_price") if fix_price else F.col("unit_price")
     cleaned = raw.select(
         cleaning.transaction_id("transaction_id").alias("transaction_id"),
-        F.try_to_date(F.col("transaction_date").cast("string")).alias("transaction_date"),
+        _day(raw, "transaction_date").alias("transaction_date"),
         "customer_id",
         cleaning.full_name("customer_fname", "customer_lname").alias("customer_name"),
         cleaning.email("customer_email", email_mode).alias("customer_email"),
@@ -39,11 +46,11 @@ def standardize(
         channels.tag("is_online").alias("transaction_type"),
         cleaning.whole_number("sales_agent_id").alias("sales_agent_id"),
         F.col("name").alias("sales_agent_name"),
-        F.try_to_date(F.col("hire_date").cast("string")).alias("sales_agent_hire_date"),
+        _day(raw, "hire_date").alias("sales_agent_hire_date"),
         cleaning.whole_number("branch_id").alias("branch_id"),
         F.col("location").alias("branch_location"),
         F.col("class").alias("branch_class"),
-        F.try_to_date(F.col("establish_date").cast("string")).alias("branch_establish_date"),
+        _day(raw, "establish_date").alias("branch_establish_date"),
         *cleaning.address_parts("shipping_address"),
     )
     return cleaned.withColumn(
