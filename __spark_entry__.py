@@ -373,7 +373,7 @@ def external_table_best_sellers(spark, sf_dir):
     tables.create_external(spark, database, {
         "online_transactions_fact": (fact.schema, f"{path}/fact"),
         "product_dim": (products.schema, f"{path}/product"),
-    })
+    }, location=f"{path}/database")
     return _plain(views.most_selling_products(
         spark.table(f"{database}.online_transactions_fact"),
         spark.table(f"{database}.product_dim")), TotalRevenue=3)
@@ -536,7 +536,7 @@ def fact_losses(spark, sf_dir):
 
 @query
 def skewed_lookup(spark, sf_dir):
-    """The join for a large dimension, hot keys kept in place (size limit set to 0)."""
+    """The join for a large dimension, hot keys dealt out (size limit set to 0)."""
     sales = bridge.sales(spark, sf_dir, "sales_agent_key", "units", "total_price")
     agents = bridge.sales_agent_dim(spark, sf_dir)
     joined = lookup.lookup(sales, agents, "sales_agent_key", "left", broadcast_rows=0,
@@ -745,7 +745,7 @@ def daily_agent_dump(spark, sf_dir):
     _, offline = _channels(spark, sf_dir)
     path = workspace.fresh_path(spark, "agent-dump")
     report = views.daily_agent_dump(offline)
-    sinks.write_csv(report, path, single_file=True)
+    sinks.write_report(report, path, "sales_agent_name", "product_name")
     return readers.read_csv(spark, path, report.schema)
 
 

@@ -208,6 +208,24 @@ def test_hot_key_lookup_equals_a_plain_join(spark, how):
     assert lookup.hot_keys(df, "k", 0.1) == [1]
 
 
+def test_a_hot_key_is_spread_over_the_partitions(spark):
+    df = spark.range(4000).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("v"))
+    table = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("label"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = lookup.lookup(df, table, "k", broadcast_rows=0)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # Four salts over four partitions: not all of them in one place.
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 4000
+    assert max(r["count"] for r in sizes) < 4000
+
+
 def test_strict_chain(spark):
     values = {f.name: None for f in schemas.RAW.fields}
     online = values | {"transaction_id": "T 1", "is_online": "yes", "units": 2, "unit_price": 10.0,

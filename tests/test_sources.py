@@ -58,11 +58,20 @@ def test_drops_with_columns_in_the_middle(spark, folder):
 
 def test_single_file_only_when_small(spark, folder, monkeypatch):
     df = spark.range(100).repartition(4)
-    sinks.write_csv(df, f"{folder}/one", single_file=True)
+    sinks.write_report(df, f"{folder}/one", "id")
     monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 50)
-    sinks.write_csv(df, f"{folder}/many", single_file=True)
-    count = lambda p: len([f for f in os.listdir(p) if f.endswith(".csv")])
-    assert count(f"{folder}/one") == 1 and count(f"{folder}/many") == 4
+    monkeypatch.setattr(sinks.workspace, "materialize", lambda df, name: df)
+    aqe = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(aqe, "false")
+    try:
+        sinks.write_report(df, f"{folder}/many", "id")
+    finally:
+        spark.conf.set(aqe, "true")
+    files = {p: sorted(f for f in os.listdir(f"{folder}/{p}") if f.endswith(".csv"))
+             for p in ("one", "many")}
+    assert len(files["one"]) == 1 and len(files["many"]) == 4
+    with open(f"{folder}/one/{files['one'][0]}") as f:
+        assert f.read().split() == ["id", *map(str, range(100))]
     assert readers.read_csv(spark, f"{folder}/many").count() == 100
 
 
@@ -202,7 +211,8 @@ def test_standardized_run_is_stored_by_date_with_its_schema(spark, folder):
 def test_external_tables_leave_files_alone(spark, folder):
     df = spark.createDataFrame([(1, "a")], "id long, name string")
     sinks.write_csv(df, f"{folder}/t")
-    tables.create_external(spark, "ext_test", {"t": (df.schema, f"{folder}/t")})
+    tables.create_external(spark, "ext_test", {"t": (df.schema, f"{folder}/t")},
+                           location=f"{folder}/db")
     assert rows(spark.sql("SELECT id, name FROM ext_test.t")) == [(1, "a")]
     spark.sql("DROP TABLE ext_test.t")
     assert readers.read_csv(spark, f"{folder}/t").count() == 1

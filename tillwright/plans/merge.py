@@ -16,9 +16,9 @@ def merge_group(
     transactions: DataFrame, agents: DataFrame, branches: DataFrame, group: str | int
 ) -> DataFrame:
     """Left joins, so that a sale without a known agent or branch is kept."""
-    merged = repair_headers(transactions)
-    merged = lookup(merged, repair_headers(agents), "sales_agent_id", "left")
-    merged = lookup(merged, branches, "branch_id", "left")
+    sold = repair_headers(transactions)
+    merged = lookup(sold, repair_headers(agents), "sales_agent_id", "left")
+    merged = lookup(merged, branches, "branch_id", "left", base=sold)
     return merged.withColumn("group", F.lit(group))
 
 
