@@ -526,6 +526,19 @@ def offline_fact_csv_layout(spark, sf_dir):
     return _plain(facts.offline(offline, star, csv=True))
 
 
+@query
+def online_fact_slim(spark, sf_dir):
+    online, _ = _channels(spark, sf_dir, stored=True)
+    places = keys.assign_keys(
+        dims.location(online), "location_id", "shipping_street_name", order=dims.LOCATION)
+    return _plain(facts.slim_online(online, places))
+
+
+@query
+def offline_fact_slim(spark, sf_dir):
+    return _plain(facts.slim_offline(_channels(spark, sf_dir)[1]))
+
+
 @query
 def fact_losses(spark, sf_dir):
     """Losses under a calendar that covers 1996 to 1999 only."""
@@ -819,7 +832,7 @@ def latest_event_per_customer(spark, sf_dir):
 
 
 def _stream(spark, sf_dir):
-    return ev.decode(bridge.events_stream(spark, sf_dir))
+    return ev.decode(bridge.events_stream(runner.state_session(spark), sf_dir))
 
 
 def _drained(spark, sf_dir, name):
@@ -871,7 +884,7 @@ def stream_all_views(spark, sf_dir):
     """Archive and all five views side by side; rows each has written at the end."""
     base = workspace.fresh_path(spark, "stream-all")
     events = _stream(spark, sf_dir)
-    runner.wait_all(spark, runner.start_all(events, base, drain=True))
+    runner.wait_all(events.sparkSession, runner.start_all(events, base, drain=True))
     counts = [spark.read.schema(events.schema).parquet(f"{base}/archive").agg(
         F.lit("archive").alias("sink"), F.count("*").alias("rows"))]
     for name, view in stream_views.VIEWS.items():

@@ -432,6 +432,23 @@ def build() -> dict[str, str]:
         "offline_fact_csv_layout": fact(f"""transaction_id, units, discount, payment_method,
             total_price, {DATE_KEY} AS date_key, product_key, s.customer_name, s.customer_email,
             customer_key, branch_key, sales_agent_key""", "offline"),
+        "online_fact_slim": f"""WITH {STD}, onl AS (SELECT * FROM std
+            WHERE transaction_type = 'online'), d AS (SELECT DISTINCT shipping_street_name,
+            shipping_city, shipping_state, shipping_zip_code FROM onl),
+            places AS (SELECT *, row_number() OVER (ORDER BY shipping_street_name NULLS FIRST,
+            shipping_city NULLS FIRST, shipping_state NULLS FIRST, shipping_zip_code NULLS FIRST)
+            AS location_id FROM d)
+            SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, transaction_id,
+            customer_id, product_id, units, unit_price, discount, payment_method, location_id,
+            "group" FROM onl o JOIN places p
+            ON o.shipping_street_name IS NOT DISTINCT FROM p.shipping_street_name
+            AND o.shipping_city IS NOT DISTINCT FROM p.shipping_city
+            AND o.shipping_state IS NOT DISTINCT FROM p.shipping_state
+            AND o.shipping_zip_code IS NOT DISTINCT FROM p.shipping_zip_code""",
+        "offline_fact_slim": f"""WITH {STD} SELECT transaction_id,
+            CAST(transaction_date AS VARCHAR) AS transaction_date, customer_id, sales_agent_id,
+            branch_id, product_id, units, unit_price, discount, payment_method, "group"
+            FROM std WHERE {OFF}""",
         "fact_losses": f"""WITH {STD}, r AS (SELECT *, year(transaction_date) NOT BETWEEN 1996
             AND 1999 AS no_date FROM std WHERE {OFF})
             SELECT count(*) AS rows_in,

@@ -101,3 +101,19 @@ def test_registered_views(spark, sales, products, branches):
     lowest = [tuple(r) for r in spark.table("v_lowest_sales_cities_offline").collect()]
     assert lowest == [("Oslo", 5.0), ("Rome", 40.0)]
     assert spark.table("v_lowest_sales_cities_online").first()["city"] is None
+
+
+def test_publish_writes_every_mart_as_text(spark, sales, products, customers, branches, monkeypatch):
+    agents = spark.createDataFrame([(1, "Al"), (2, "Bo")], "sales_agent_key long, sales_agent_name string")
+    star = {"date": dims.date_dim(spark, "2024-01-01", "2024-12-31"), "product": products,
+            "customer": customers, "branch": branches, "sales_agent": agents}
+    built = marts.build(sales, star)
+    assert set(built) == set(marts.DISPLAY) and len(built) == 15
+    written = {}
+    monkeypatch.setattr(marts.sinks, "write_jdbc",
+                        lambda df, options: written.update({options["dbtable"]: df}))
+    marts.publish(built, lambda table: {"dbtable": table})
+    assert set(written) == set(built)
+    assert written["agent_sales"].first()["total_sales"] == "40.00"
+    assert written["freq_customers"].first()["total_transactions"] == 3
+    assert written["monthly_sales"].collect()[1]["growth_rate"] == "73.33"

@@ -112,6 +112,15 @@ OFFLINE_FACT_CSV = [
     "product_key", "customer_name", "customer_email", "customer_key", "branch_key",
     "sales_agent_key",
 ]
+# Layouts that keep natural ids; the address is a location id.
+ONLINE_SLIM = [
+    "transaction_date", "transaction_id", "customer_id", "product_id", "units", "unit_price",
+    "discount", "payment_method", "location_id", "group",
+]
+OFFLINE_SLIM = [
+    "transaction_id", "transaction_date", "customer_id", "sales_agent_id", "branch_id",
+    "product_id", "units", "unit_price", "discount", "payment_method", "group",
+]
 
 EVENT = StructType(
     ddl("eventType string, customerId string, productId string, timestamp timestamp").fields
