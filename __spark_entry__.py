@@ -342,7 +342,8 @@ def json_by_extension(spark, sf_dir):
     raw = _raw(spark, sf_dir, "transaction_id", "units", "unit_price", "payment_method")
     raw.write.json(path)
     return readers.read_any(spark, path, raw.schema,
-                            strategy=lambda df: df.where("units >= 10"))
+                            strategy=lambda df: df.withColumn(
+                                "unit_price", cleaning.unit_price("unit_price")))
 
 
 @query
@@ -766,7 +767,8 @@ def daily_agent_dump(spark, sf_dir):
 
 
 def _events(spark, sf_dir):
-    return ev.decode(bridge.event_messages(bridge.table(spark, sf_dir, "events")))
+    events = readers.spread(bridge.table(spark, sf_dir, "events"))
+    return ev.decode(bridge.event_messages(events))
 
 
 @query

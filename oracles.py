@@ -363,7 +363,7 @@ def build() -> dict[str, str]:
             CAST(transaction_date AS VARCHAR) AS transaction_date,
             CAST(NULL AS VARCHAR) AS logs, 'kept' AS remark"""),
         "json_by_extension": raw(["transaction_id", "units", "unit_price", "payment_method"],
-                                 "*", "WHERE units >= 10"),
+                                 "* REPLACE (abs(unit_price) AS unit_price)"),
         "merge_schema_scan": raw(
             ["transaction_id", "units", "group"],
             """transaction_id, units, CASE WHEN "group" > 'group3' THEN "group" END AS "group",

@@ -19,6 +19,12 @@ def test_headers(spark):
     assert fixed.columns == ["customer_email", "sales_agent_id", "branch_class"]
 
 
+def test_dates_need_no_leading_zeros_and_bad_ones_are_null(spark):
+    df = spark.createDataFrame([("2020-6-3",), ("soon",), (None,)], "transaction_date string")
+    got = shaping.cast_dates(df).select(F.col("transaction_date").cast("string")).collect()
+    assert [r[0] for r in got] == ["2020-06-03", None, None]
+
+
 def test_channels(spark):
     df = spark.createDataFrame([(1, "yes"), (2, "no"), (3, None), (4, "Y")],
                                "id int, is_online string")
