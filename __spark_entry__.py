@@ -903,9 +903,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return most_selling_products_online(spark, "/root/testdata/sf0.001")
 
 
+def _pipeline_parts() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where they are not installed."""
+    try:
+        from tillwright.llm import queries as operators
+        import corpus_pipeline
+    except ModuleNotFoundError as error:
+        if error.name in ("tillwright.llm", "corpus_pipeline"):
+            return {}, {}
+        raise
+    found, sql = dict(operators.QUERIES), dict(operators.ORACLES)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_pipeline_parts()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    return {**oracles.build(), **_pipeline_parts()[1]}
