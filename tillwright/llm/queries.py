@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import mixing, quality_rules, sharding
+from tillwright.llm import decontamination, mixing, near_dups, quality_rules, sharding
 from tillwright.llm import reference_sql as sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(sql.DECONTAMINATION)
+def op1_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    report = decontamination.judged(docs, table(spark, sf_dir, "benchmark"))
+    return report.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 @query(sql.SHARDING)
 def op4_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -47,6 +56,12 @@ def op5_quality_rules(spark, sf_dir):
         "failed_rules", F.array_join("failed_rules", ","))
 
 
+@query(sql.NEAR_DUPLICATES)
+def op9_near_duplicates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return near_dups.classify(docs, shingle=3, percent=85)
+
+
 @query()
 def op10_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -106,3 +106,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        failed_rules, NOT base_failed AND failed_rules = '' AS kept
 FROM verdict
 """
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Windows as lists of words; a window of m words is looked for among all runs of m words.
+DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all({_FOLDED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item_id,
+         regexp_extract_all({_FOLDED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+starts AS (
+  SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+  FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM starts),
+lengths AS (SELECT DISTINCT m FROM wins),
+runs AS (
+  SELECT rid, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM d, lengths WHERE len(w) >= m),
+found AS (
+  SELECT rid, i, r.m, item_id FROM (
+    SELECT rid, i, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM runs) r
+  JOIN wins ON wins.m = r.m AND wins.win = r.win),
+hits AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT rid, i, m FROM found))
+  GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM found) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
+"""
+
+# Exact: all pairs that share a shingle, then reachability.
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT rid, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+  FROM d),
+shingles AS (SELECT rid, len(s) AS n, unnest(s) AS sh FROM sets),
+links AS (
+  SELECT a.rid AS u, b.rid AS v FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.rid <> b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT rid AS u, rid AS v FROM sets
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+component AS (
+  SELECT u, min(doc_id) AS component_id FROM reach JOIN sets ON sets.rid = reach.v GROUP BY u)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+       coalesce(doc_id = component_id, component_id IS NULL) AS kept
+FROM sets JOIN component ON component.u = sets.rid
+"""
