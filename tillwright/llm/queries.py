@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, mixing, near_dups, quality_rules, sharding
+from tillwright.llm import (
+    decontamination, mixing, near_dups, quality_classifier, quality_rules, sharding, toxicity,
+)
 from tillwright.llm import reference_sql as sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +58,24 @@ def op5_quality_rules(spark, sf_dir):
         "failed_rules", F.array_join("failed_rules", ","))
 
 
+@query()
+def op6_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, model).select(
+        "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score", "predicted")
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.classify(docs, model).select(
+        "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score", "predicted", F.slice("evidence", 1, 3).alias("evidence"))
+
+
 @query(sql.NEAR_DUPLICATES)
 def op9_near_duplicates(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
