@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tillwright.llm import (
     decontamination, mixing, near_dups, quality_classifier, quality_rules, sharding, toxicity,
+    warc,
 )
 from tillwright.llm import reference_sql as sql
+from tillwright.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +69,15 @@ def op6_quality_classifier(spark, sf_dir):
         "score", "predicted")
 
 
+@query(sql.WARC)
+def op7_warc(spark, sf_dir):
+    scratch = Scratch(spark, "archives")
+    path = scratch.path("warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.pages(spark, path, scratch=scratch).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 @query()
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -164,3 +164,16 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
        coalesce(doc_id = component_id, component_id IS NULL) AS kept
 FROM sets JOIN component ON component.u = sets.rid
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+         min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+t AS (SELECT *, coalesce(payload_bytes >= 100 AND page_id > first, false) AS copy FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN copy THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN copy THEN first END AS refers_to, CASE WHEN NOT copy THEN true END AS intact
+FROM t
+"""
