@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
-    decontamination, mixing, near_dups, quality_classifier, quality_rules, sharding, toxicity,
-    warc,
+    decontamination, mixing, near_dups, quality_classifier, quality_rules, repeats, sharding,
+    toxicity, training_order, warc,
 )
 from tillwright.llm import reference_sql as sql
 from tillwright.llm.scratch import Scratch
@@ -40,6 +40,21 @@ def op1_decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query()
+def op2_training_order(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = Scratch(spark, "training").path("shards")
+    training_order.write(docs, path)
+    return training_order.read(spark, path).select(
+        "slot", "shard", "doc_id", "part", "n_tokens",
+        F.crc32("tokens").alias("tokens_crc32"))
+
+
+@query(sql.REPEATS)
+def op3_repeated_passages(spark, sf_dir):
+    return repeats.spans(table(spark, sf_dir, "documents"))
+
+
 @query(sql.SHARDING)
 def op4_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -177,3 +177,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN copy THEN first END AS refers_to, CASE WHEN NOT copy THEN true END AS intact
 FROM t
 """
+
+# All stretches of 50 words of all documents; islands of those that stand in two of them.
+REPEATS = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+  WHERE doc_id IS NOT NULL),
+starts AS (
+  SELECT doc_id, i - 1 AS s, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+twice AS (SELECT h FROM starts GROUP BY h HAVING min(doc_id) <> max(doc_id)),
+hit AS (SELECT DISTINCT doc_id, s FROM starts SEMI JOIN twice USING (h)),
+marked AS (
+  SELECT *, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 50 THEN 0 ELSE 1 END AS new
+  FROM hit),
+islands AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS island FROM marked)
+SELECT doc_id, min(s) AS start_word, max(s) + 50 - min(s) AS n_words
+FROM islands GROUP BY doc_id, island
+"""

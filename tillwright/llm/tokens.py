@@ -136,3 +136,17 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
         for k in range(n):
             total += mixed(hashes[k:k + size] + _STEP[k % 64] * np.uint64(k // 64 + 1)) * _STEP[k % 64]
     return mixed(total + np.uint64(n))
+
+
+def running(hashes: np.ndarray) -> np.ndarray:
+    """Sums from which :func:`stretch` hashes any stretch of words in one step."""
+    with np.errstate(over="ignore"):
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+            hashes * _powers(_BASE, len(hashes)), dtype=np.uint64)])
+
+
+def stretch(sums: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each of ``starts``."""
+    with np.errstate(over="ignore"):
+        return mixed((sums[starts + n] - sums[starts]) * _powers(_INVERSE, len(sums))[starts]
+                     + _STEP[0] * np.uint64(n))
