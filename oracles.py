@@ -114,24 +114,30 @@ _OFFLINE_ORDER = ["transaction_date", "customer_id", "customer_name", "customer_
                   "sales_agent_id", "branch_id", "product_id", "product_name",
                   "product_category", "units", "unit_price", "discount", "total_price",
                   "payment_method", "sales_agent_name", "sales_agent_hire_date",
-                  "branch_location", "branch_establish_date", "branch_class", '"group"',
-                  "transaction_type"]
-_ALL_ORDER = [c.strip() for c in ALL_COLUMNS.split(",")][1:]
+                  "branch_location", "branch_establish_date", "branch_class", '"group"']
+_ONLINE_PLAIN = ", ".join(["transaction_id", *_ONLINE_ORDER])
+_OFFLINE_PLAIN = ", ".join(["transaction_id", *_OFFLINE_ORDER])
 
 
-def smallest(source: str, columns: list[str], where: str = "TRUE") -> str:
-    """The smallest row per transaction id."""
-    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
-    return f"""SELECT * FROM {source} WHERE transaction_id IS NOT NULL AND {where}
-        QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY {order}) = 1"""
+def two_loads(name: str, source: str, columns: str) -> str:
+    """What two loads of a channel store: distinct early rows, then those with other ids."""
+    return f"""{name}_rows AS (SELECT DISTINCT {columns}, {FIRST} AS early FROM {source}
+        WHERE transaction_id IS NOT NULL),
+    {name}_first AS (SELECT DISTINCT transaction_id AS id FROM {name}_rows WHERE early),
+    {name}_fresh AS (SELECT * FROM {name}_rows WHERE NOT early
+        AND transaction_id NOT IN (SELECT id FROM {name}_first)),
+    {name}_stored AS (SELECT * FROM {name}_rows WHERE early UNION ALL SELECT * FROM {name}_fresh)"""
 
 
-def two_loads(source: str, columns: list[str]) -> str:
-    """What the two loads store: the first load's rows, then the ids it lacks."""
-    return f"""first_load AS ({smallest(source, columns, FIRST)}),
-    second_load AS ({smallest(source, columns)}),
-    stored AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load s
-        WHERE NOT EXISTS (SELECT 1 FROM first_load f WHERE f.transaction_id = s.transaction_id))"""
+def balance(name: str, columns: str) -> str:
+    """Where the rows of the second load go."""
+    return f"""SELECT '{name}' AS channel, count(*) AS rows_in,
+        (SELECT count(*) FROM {name}_fresh) AS stored,
+        count(*) FILTER (transaction_id IS NOT NULL AND ({FIRST} OR transaction_id NOT IN
+            (SELECT id FROM {name}_first))) - (SELECT count(*) FROM {name}_fresh) AS known,
+        count(*) FILTER (transaction_id IS NULL OR (NOT {FIRST} AND transaction_id IN
+            (SELECT id FROM {name}_first))) AS set_aside
+        FROM std WHERE transaction_type = '{name}'"""
 
 
 def dim(name: str, source: str, columns: list[str], where: str = "TRUE") -> str:
@@ -352,11 +358,9 @@ def build() -> dict[str, str]:
         "csv_enforced_schema": f"""WITH {RAW} SELECT * REPLACE (
             CAST(transaction_date AS VARCHAR) AS transaction_date,
             CAST(hire_date AS VARCHAR) AS hire_date,
-            CAST(establish_date AS VARCHAR) AS establish_date, trim(transaction_id)
-            AS transaction_id, trim(customer_email) AS customer_email,
-            nullif(offer_1, '') AS offer_1) FROM raw""",
+            CAST(establish_date AS VARCHAR) AS establish_date) FROM raw""",
         "csv_without_header": raw(["transaction_id", "units", "unit_price"],
-                                  "trim(transaction_id) AS transaction_id, units, unit_price"),
+                                  "transaction_id, units, unit_price"),
         "reconcile_schema": raw(
             ["transaction_id", "units", "transaction_date", "unit_price"],
             """trim(transaction_id) AS transaction_id, units, unit_price,
@@ -371,15 +375,24 @@ def build() -> dict[str, str]:
         "standardized_store":
             f"WITH {STD} SELECT {ONLINE} FROM std WHERE transaction_type = 'online'",
         "incremental_new_rows": f"""WITH {STD}, chan AS (SELECT * FROM std
-            WHERE transaction_type = 'online'), {two_loads('chan', _ONLINE_ORDER)}
-            SELECT {ONLINE} FROM second_load s WHERE NOT EXISTS
-            (SELECT 1 FROM first_load f WHERE f.transaction_id = s.transaction_id)""",
+            WHERE transaction_type = 'online'), {two_loads('online', 'chan', _ONLINE_PLAIN)}
+            SELECT {ONLINE} FROM online_fresh""",
+        "load_balance": f"""WITH {STD}, onl AS (SELECT * FROM std
+            WHERE transaction_type = 'online'), off AS (SELECT * FROM std WHERE {OFF}),
+            {two_loads('online', 'onl', _ONLINE_PLAIN)},
+            {two_loads('offline', 'off', _OFFLINE_PLAIN)}
+            {balance('online', _ONLINE_PLAIN)} UNION ALL {balance('offline', _OFFLINE_PLAIN)}""",
         "quarantined_rows": f"""WITH {STD} SELECT transaction_type, count(*) AS rows FROM std
             WHERE transaction_id IS NULL GROUP BY 1""",
         "merge_dedup": f"""WITH {STD} SELECT DISTINCT {ONLINE} FROM std
             WHERE transaction_type = 'online'""",
-        "denormalised_append": f"""WITH {STD}, {ALL}, {two_loads('allsales', _ALL_ORDER)}
-            SELECT {dated(ALL_COLUMNS)} FROM stored""",
+        "denormalised_append": f"""WITH {STD}, onl AS (SELECT * FROM std
+            WHERE transaction_type = 'online'), off AS (SELECT * FROM std WHERE {OFF}),
+            {two_loads('online', 'onl', _ONLINE_PLAIN)},
+            {two_loads('offline', 'off', _OFFLINE_PLAIN)}, allsales AS (
+                SELECT 'online' AS transaction_type, * FROM online_stored
+                UNION ALL BY NAME SELECT 'offline' AS transaction_type, * FROM offline_stored)
+            SELECT {dated(ALL_COLUMNS)} FROM allsales""",
         "date_dim": """WITH days AS (SELECT CAST(unnest(generate_series(min(o_orderdate),
             max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)
             SELECT CAST(d AS VARCHAR) AS datee, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key,
@@ -465,8 +478,10 @@ def build() -> dict[str, str]:
                                "LEFT JOIN supplier ON s_suppkey = sales_agent_key GROUP BY 1"),
         "pipeline_category_sales": f"""WITH {STD}, onl AS (SELECT * FROM std
             WHERE transaction_type = 'online'), off AS (SELECT * FROM std WHERE {OFF}),
-            kept AS ({smallest('onl', _ONLINE_ORDER)} UNION ALL SELECT * FROM (
-                {smallest('off', _OFFLINE_ORDER)}) WHERE branch_id IS NOT NULL)
+            kept AS (SELECT product_category, total_price FROM (SELECT DISTINCT {_ONLINE_PLAIN}
+                FROM onl) WHERE transaction_id IS NOT NULL UNION ALL
+                SELECT product_category, total_price FROM (SELECT DISTINCT {_OFFLINE_PLAIN}
+                FROM off) WHERE transaction_id IS NOT NULL AND branch_id IS NOT NULL)
             SELECT product_category, {TOTAL} FROM kept GROUP BY 1""",
         "total_monthly_sales": sales(
             ["date_key"], f"CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, {TOTAL}",
@@ -510,12 +525,11 @@ def build() -> dict[str, str]:
             CAST(sum(units) AS BIGINT) AS total_sold_units FROM std WHERE {OFF} GROUP BY 1, 2""",
         "event_decode": f"""WITH {messages()} SELECT "eventType", "customerId", "productId",
             strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, category, source,
-            coalesce(quantity, 0) AS quantity, coalesce("totalAmount", 0.0) AS "totalAmount",
-            "paymentMethod", "recommendedProductId", algorithm,
+            quantity, "totalAmount", "paymentMethod", "recommendedProductId", algorithm,
             CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date FROM events_""",
         "hourly_sales": window(HOUR, '"productId"',
                                amounts("num_purchases", "total_sales", "avg_sale_value")),
-        "category_performance_bounds": window(
+        "category_performance": window(
             HOUR, "category", amounts("num_purchases", "total_sales", "avg_sale_value")
             + ", TRUE AS within_bound"),
         "payment_method_trends": window(

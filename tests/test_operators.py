@@ -1,10 +1,12 @@
+import os
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tillwright.operators import channels, dims, facts, incremental, keys, lookup, shaping
 from tillwright.plans import merge, standardize
-from tillwright.sources import schemas
+from tillwright.sources import readers, schemas
 
 
 def test_blank_columns_go_and_a_single_value_keeps_one(spark):
@@ -65,23 +67,58 @@ def _batch(spark, *triples):
         F.col("c").alias("units"))
 
 
-def test_loading_twice_adds_nothing(spark, folder):
+def _account(load):
+    assert load.rows_in == load.stored + load.known + load.set_aside
+    assert load.fresh.count() == load.stored
+    return load.rows_in, load.stored, load.known, load.set_aside
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_a_load_accounts_for_every_row(spark, folder, grain):
     first = _batch(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("b", "2024-01-02", 1),
-                   (None, "2024-01-02", 5))
+                   ("b", "2024-01-02", 1), (None, "2024-01-02", 5), ("n", None, 7))
     path = f"{folder}/t"
-    assert rows(incremental.append_new(first, path, "transaction_id").select("transaction_id", "units")) == [
-        ("a", 1), ("b", 1)]
-    assert incremental.append_new(first, path, "transaction_id").count() == 2
-    second = _batch(spark, ("b", "2024-01-02", 9), ("c", "2024-01-03", 3))
-    got = incremental.append_new(second, path, "transaction_id")
-    assert rows(got.select("transaction_id", "units")) == [("a", 1), ("b", 1), ("c", 3)]
-    assert rows(incremental.quarantined(first, "transaction_id").select("units")) == [(5,)]
 
+    def table(at=path):
+        return rows(readers.read_stored(spark, at).select("transaction_id", "units"))
+
+    # Different sales with one id all stay; only the exact copy goes.
+    assert _account(incremental.append_new(first, path, "transaction_id", grain=grain)) == (6, 4, 1, 1)
+    everything = [("a", 1), ("b", 1), ("b", 2), ("n", 7)]
+    assert table() == everything
+    # The same batch again adds nothing, to neither table.
+    assert _account(incremental.append_new(first, path, "transaction_id", grain=grain)) == (6, 0, 5, 1)
+    assert table() == everything
+    second = _batch(spark, ("b", "2024-01-02", 9), ("b", "2024-03-02", 1), ("c", "2024-01-03", 3))
+    assert _account(incremental.append_new(second, path, "transaction_id", grain=grain)) == (3, 1, 0, 2)
+    assert table() == sorted(everything + [("c", 3)])
+    aside = readers.read_stored(spark, incremental.set_aside_path(path))
+    assert rows(aside.select("transaction_id", "units", incremental.REASON)) == [
+        (None, 5, incremental.NO_ID), ("b", 1, incremental.CHANGED), ("b", 9, incremental.CHANGED)]
+
+
+def test_a_first_load_without_rows(spark, folder):
+    path = f"{folder}/t"
+    first = _batch(spark, ("a", "2024-01-01", 1))
+    assert _account(incremental.append_new(first.limit(0), path, "transaction_id")) == (0, 0, 0, 0)
+    assert readers.read_stored(spark, path).count() == 0
+    assert _account(incremental.append_new(first, path, "transaction_id")) == (1, 1, 0, 0)
+    # A folder that a failed write has left behind is no table yet.
+    os.makedirs(f"{folder}/half/_temporary/0")
+    assert _account(incremental.append_new(first, f"{folder}/half", "transaction_id")) == (1, 1, 0, 0)
 
-def test_month_grain_reads_back_the_same(spark, folder):
-    first = _batch(spark, ("a", "2024-01-01", 1), ("b", "2024-02-02", 2))
-    got = incremental.append_new(first, f"{folder}/m", "transaction_id", grain="month")
-    assert rows(got.select(*first.columns)) == rows(first)
+
+def test_grains_do_not_mix(spark, folder):
+    first = _batch(spark, ("a", "2024-01-01", 1))
+    incremental.append_new(first, f"{folder}/t", "transaction_id")
+    with pytest.raises(ValueError, match="stored by transaction_date"):
+        incremental.append_new(first, f"{folder}/t", "transaction_id", grain="month")
+
+
+def test_new_rows_need_no_sort_of_wide_rows(spark):
+    batch = _batch(spark, ("a", "2024-01-01", 1))
+    plan = incremental.new_rows(batch, batch.limit(0), "transaction_id")._jdf.queryExecution()
+    assert "SortAggregate" not in plan.executedPlan().toString()
 
 
 def test_merge_distinct_needs_another_target(spark, folder):
@@ -96,10 +133,9 @@ def test_merge_distinct_needs_another_target(spark, folder):
 def test_a_third_of_the_rows_under_one_id(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
-        F.col("id").alias("v"))
-    got = incremental.one_per_key(df, "k")
-    assert got.count() == 20_001
-    assert got.where("k = 'hot'").first()["v"] == 0
+        (F.col("id") % 300).alias("v"))
+    got = incremental.new_rows(df, df.limit(0), "k")
+    assert got.count() == 20_000 + 100
 
 
 # --- keys ---------------------------------------------------------------------------
@@ -209,9 +245,10 @@ def test_hot_key_lookup_equals_a_plain_join(spark, how):
         .otherwise(F.col("id")).cast("long").alias("k"), F.col("id").alias("v"))
     table = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("label"))
     expected = rows(df.join(table, "k", how).select("k", "v", "label"))
-    got = lookup.lookup(df, table, "k", how, broadcast_rows=0, hot_share=0.1)
-    assert rows(got.select("k", "v", "label")) == expected
     assert lookup.hot_keys(df, "k", 0.1) == [1]
+    got = lookup.salted(df, table, "k", how, [1])
+    assert rows(got.select("k", "v", "label")) == expected
+    assert rows(lookup.lookup(df, table, "k", how).select("k", "v", "label")) == expected
 
 
 def test_a_hot_key_is_spread_over_the_partitions(spark):
@@ -222,7 +259,7 @@ def test_a_hot_key_is_spread_over_the_partitions(spark):
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        joined = lookup.lookup(df, table, "k", broadcast_rows=0)
+        joined = lookup.salted(df, table, "k", "inner", [1])
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         for name, value in before.items():

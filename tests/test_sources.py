@@ -56,11 +56,9 @@ def test_drops_with_columns_in_the_middle(spark, folder):
     assert by_name.columns[-2:] == ["logs", "source"] and by_name.first()["logs"] == "seen"
 
 
-def test_single_file_only_when_small(spark, folder, monkeypatch):
+def test_single_file_only_when_asked_for(spark, folder):
     df = spark.range(100).repartition(4)
-    sinks.write_report(df, f"{folder}/one", "id")
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 50)
-    monkeypatch.setattr(sinks.workspace, "materialize", lambda df, name: df)
+    sinks.write_report(df, f"{folder}/one", "id", single=True)
     aqe = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(aqe, "false")
     try:
@@ -169,11 +167,16 @@ def _raw(spark, *ids, price=10.0):
                          F.expr("date_add(date'2024-07-01', cast(units AS int))"))
 
 
+def _load(spark, std, den, norm):
+    loads = denormalise.run(spark, std, den)
+    return model.refresh(spark, norm, loads["online"].fresh, loads["offline"].fresh,
+                         denormalise.fresh_sales(loads))
+
+
 def test_layers_end_to_end_and_loading_again(spark, folder):
     std, den, norm = (f"{folder}/{n}" for n in ("std", "den", "norm"))
     standardize.run(_raw(spark, *range(6)), std, "20240712100000")
-    stored = denormalise.run(spark, std, den)
-    star = model.refresh(spark, norm, stored["online"], stored["offline"], stored["all"])
+    star = _load(spark, std, den, norm)
     assert star["online_fact"].count() == 3 and star["offline_fact"].count() == 3
     keys_before = rows(star["product"].select("product_id", "product_key"))
 
@@ -181,8 +184,7 @@ def test_layers_end_to_end_and_loading_again(spark, folder):
     standardize.run(_raw(spark, *range(4, 9), price=-20.0), std, "20240712110000")
     newest = denormalise.newest_run(spark, std)
     assert newest["online"].count() == 3 and newest["online"].first()["unit_price"] == 20.0
-    stored = denormalise.run(spark, std, den)
-    star = model.refresh(spark, norm, stored["online"], stored["offline"], stored["all"])
+    star = _load(spark, std, den, norm)
     assert star["online_fact"].count() + star["offline_fact"].count() == 9
     keys_after = rows(star["product"].select("product_id", "product_key"))
     assert set(keys_before) <= set(keys_after)
@@ -190,8 +192,7 @@ def test_layers_end_to_end_and_loading_again(spark, folder):
     assert model.sales(star).count() == 9
 
     # The same run once more changes nothing.
-    stored = denormalise.run(spark, std, den)
-    star = model.refresh(spark, norm, stored["online"], stored["offline"], stored["all"])
+    star = _load(spark, std, den, norm)
     assert model.sales(star).count() == 9
     assert rows(star["product"].select("product_id", "product_key")) == keys_after
 
@@ -259,3 +260,52 @@ def test_kafka_options():
 def test_workspace_follows_the_session(spark):
     assert workspace.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert workspace.fresh_path(spark, "a") != workspace.fresh_path(spark, "a")
+
+
+def test_a_small_load_reads_no_history(spark, folder, monkeypatch):
+    """After a full load, dimensions and facts of a small one see its own rows only."""
+    std, den, norm = (f"{folder}/{n}" for n in ("std", "den", "norm"))
+    standardize.run(_raw(spark, *range(40)), std, "20240712100000")
+    _load(spark, std, den, norm)
+    standardize.run(_raw(spark, *range(36, 45)), std, "20240712110000")
+    seen = []
+    real = model.dimension_rows
+    monkeypatch.setattr(model, "dimension_rows", lambda all_sales, offline: seen.append(
+        (all_sales.count(), offline.count())) or real(all_sales, offline))
+    star = _load(spark, std, den, norm)
+    assert seen == [(5, 2)]
+    assert model.sales(star).count() == 45
+    assert star["offline_losses"].first()["rows_in"] == 2
+    assert denormalise.stored(spark, den)["all"].count() == 45
+
+
+def test_csv_text_is_not_altered(spark, folder):
+    df = spark.createDataFrame([(" a ", "x"), ("", "y"), (None, "z"), ('q"u,o', " ")], "t string, u string")
+    sinks.write_csv(df, f"{folder}/t")
+    assert rows(readers.read_csv(spark, f"{folder}/t", df.schema)) == rows(df)
+
+
+def test_a_header_in_another_order_is_an_error(spark, folder):
+    df = spark.createDataFrame([(1, 2)], "a long, b long")
+    sinks.write_csv(df.select("b", "a"), f"{folder}/t")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, f"{folder}/t", df.schema).collect()
+
+
+def test_a_drop_lands_in_the_raw_layer(spark, folder):
+    base = f"{folder}/drops/group4"
+    _write(f"{base}/branches_SS_raw_4.csv",
+           "branch_id,location,establish_date,class\n1,New York,2017-01-15,A\n")
+    _write(f"{base}/sales_agents_SS_raw_4.csv",
+           "sales_person_id,name,hire_date\n7,John Doe,2020-9-10\n")
+    _write(f"{base}/sales_transactions_SS_raw_4.csv",
+           "transaction_id,sales_agent_id,branch_id,cusomter_email,units,transaction_date,is_online\n"
+           "trx-1,7,1,a@x.org,2,2024-07-01,no\n")
+    now = F.current_timestamp()
+    path = merge.land(spark, f"{folder}/drops", f"{folder}/raw", "20240712135616", now)
+    assert path.endswith("raw_sales_transactions_2024-07-12")
+    raw = readers.read_csv(spark, path, schemas.RAW)
+    assert rows(raw.select("transaction_id", "sales_agent_id", "name", "group")) == [
+        ("trx-1", 7, "John Doe", "group4")]
+    later = now + F.expr("interval 3 hours")
+    assert merge.land(spark, f"{folder}/drops", f"{folder}/raw", "20240712135616", later) is None

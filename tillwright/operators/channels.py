@@ -12,13 +12,6 @@ from tillwright.sources import schemas
 
 ONLINE, OFFLINE = "online", "offline"
 
-ONLY_OFFLINE = [
-    "sales_agent_id", "branch_id", "sales_agent_name", "sales_agent_hire_date",
-    "branch_location", "branch_establish_date", "branch_class",
-]
-ONLY_ONLINE = [
-    "shipping_street_name", "shipping_city", "shipping_state", "shipping_zip_code",
-]
 
 
 def tag(flag: Column | str = "is_online") -> Column:
@@ -41,11 +34,6 @@ def split_losses(df: DataFrame, flag: str = "is_online") -> DataFrame:
     return df.where(~kept).groupBy(flag).agg(F.count("*").alias("dropped_rows"))
 
 
-def without_other_channel(df: DataFrame, channel: str) -> DataFrame:
-    """Drop the columns that only the other channel fills."""
-    return df.drop(*(ONLY_OFFLINE if channel == ONLINE else ONLY_ONLINE))
-
-
 def stack(*frames: DataFrame) -> DataFrame:
     """Union by name; a column missing on one side is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

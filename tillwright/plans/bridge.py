@@ -17,8 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.sources import readers
-
 # join name -> (table, columns renamed, condition, joins it needs)
 JOINS = {
     "orders": ("orders", {}, "o_orderkey = l_orderkey", ()),
@@ -154,8 +152,7 @@ def raw_transactions(
 ) -> DataFrame:
     """Raw merged transactions, all 27 columns or the requested ones."""
     columns = list(columns or RAW)
-    lines = readers.spread(table(spark, sf_dir, "lineitem"))
-    lines = _lines(lines, spark, sf_dir, needed_joins(columns, RAW))
+    lines = _lines(table(spark, sf_dir, "lineitem"), spark, sf_dir, needed_joins(columns, RAW))
     return lines.select(*[F.expr(RAW[c][0]).alias(c) for c in columns])
 
 

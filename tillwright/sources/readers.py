@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 SIDECAR = "_schema"
+# Text is neither trimmed nor changed: null is an empty field, empty text is quoted.
+CSV_TEXT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# An empty field is read as the null mark, which must not be the empty text.
+_CSV_NULLS = {"nullValue": "\u0000", "emptyValue": ""}
 MONTH = "transaction_month"  # directory column of tables stored by month
 
 
@@ -17,12 +21,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV file, directory or glob. With a schema, columns bind by position.
 
-    Without one every column is text: nothing is inferred, so the files are
-    read once and not twice.
+    A header that names other columns than the schema is an error. Without a
+    schema every column is text: nothing is inferred, so the files are read once
+    and not twice. Text comes back as :func:`sinks.write_csv` wrote it.
     """
-    reader = spark.read.option("header", header)
+    reader = spark.read.options(header=header, **CSV_TEXT, **_CSV_NULLS)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", not header)
     return reader.csv(path)
 
 
@@ -36,9 +41,15 @@ def read_with_sidecar(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).drop(MONTH)
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """A table kept by this package, without its directory-only column."""
-    return spark.read.parquet(path).drop(MONTH)
+def read_stored(spark: SparkSession, path: str, keep_month: bool = False) -> DataFrame:
+    """A table kept by this package, read with its side-car schema.
+
+    So a table without rows reads as such. The directory-only column is dropped,
+    unless the caller wants to choose months by it.
+    """
+    schema = spark.read.parquet(f"{path}/{SIDECAR}").schema
+    df = spark.read.schema(schema.add(MONTH, StringType())).parquet(path)
+    return df if keep_month else df.drop(MONTH)
 
 
 def reconcile(df: DataFrame, expected: StructType, partitions: int | None = None) -> DataFrame:
@@ -58,16 +69,6 @@ def reconcile(df: DataFrame, expected: StructType, partitions: int | None = None
     return out.repartition(partitions) if partitions else out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of an input that arrives in fewer pieces than there are cores.
-
-    For work that is heavy per row. An input with enough pieces, as any large
-    one has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_any(
     spark: SparkSession,
     path: str,
