@@ -2,15 +2,18 @@
 
 Documents are sets of word shingles. Those with equal sets form one class, kept
 under its smallest id. Per class, ``HASHES`` universal hash functions give minima;
-minima in bands of ``ROWS`` are bucket keys. Two classes at similarity 0.85 miss
-each other in all bands with a probability of 4e-5, at 0.9 of 2e-8.
+minima in bands are bucket keys. :func:`banding` chooses bands so that two classes
+at the threshold miss each other in all of them with a probability of at most 1e-4;
+at a similarity 0.05 above it, this is below 1e-6.
 
 Pairs inside a bucket are never all emitted. In every bucket the member with most
 company over all its buckets leads, and all others are compared with it. What
 remains are members of one bucket in different components; they are compared
-inside one join, whose condition first compares sketches and then the full sets,
-and which emits true links only. So a bucket with a third of all rows costs one
-comparison per member, and more only for members that the first step left apart.
+inside one join, whose condition compares parity marks and which emits hardly more
+than true links. Parity marks hold, for each of ``PARITIES`` cells, whether an odd
+number of shingles falls into it: common shingles cancel out, so the cells that
+differ are a lower bound of the shingles that differ, and no link is lost. Full
+sets confirm every link.
 
 Rows without an id link with nothing, unless their set equals another's; texts
 that are null, empty or without words have no shingles and link with nothing.
@@ -33,11 +36,11 @@ from tillwright.llm import tokens
 from tillwright.llm.components import components
 from tillwright.llm.scratch import Scratch
 
-BANDS, ROWS = 32, 8
-HASHES = BANDS * ROWS
-#: Of the 256 two-bit marks of a sketch, 29 differ on average at similarity 0.85,
-#: with a deviation of 5; more differences than this are not compared in full.
-MAX_MARKS = 56
+HASHES = 256
+MISS = 1e-4
+#: Deviations from the mean beyond which two sketches are taken for dissimilar.
+DEVIATIONS = 5.3
+PARITIES = 1024
 PIECE = 1 << 20
 #: Ids of 8 bytes; beyond that many, the texts are joined by shuffle.
 BROADCAST_IDS = 1_000_000
@@ -45,7 +48,21 @@ BROADCAST_IDS = 1_000_000
 _RNG = np.random.default_rng(17)
 _A = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
-_K = _RNG.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_K = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the longest bands that miss a pair at the threshold rarely enough."""
+    s = percent / 100
+    good = [r for r in range(1, 33) if (1 - s ** r) ** (HASHES // r) <= MISS]
+    rows = max(good, default=1)
+    return HASHES // rows, rows
+
+
+def most_marks(percent: int) -> int:
+    """How many of the two-bit marks may differ: equal minima agree, others in one case of four."""
+    p = 0.75 * (1 - percent / 100)
+    return round(HASHES * p + DEVIATIONS * (HASHES * p * (1 - p)) ** 0.5)
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -75,11 +92,11 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     return out.T >> np.uint64(32)
 
 
-def band_keys(mins: np.ndarray) -> np.ndarray:
+def band_keys(mins: np.ndarray, bands: int, rows: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        by_band = mins.reshape(len(mins), BANDS, ROWS)
-        keys = (tokens.mixed(by_band + _K) * _K).sum(2, dtype=np.uint64)
-        return tokens.mixed(keys + np.arange(BANDS, dtype=np.uint64) * _K[0]).view(np.int64)
+        by_band = mins[:, :bands * rows].reshape(len(mins), bands, rows)
+        keys = (tokens.mixed(by_band + _K[:rows]) * _K[:rows]).sum(2, dtype=np.uint64)
+        return tokens.mixed(keys + np.arange(bands, dtype=np.uint64) * _K[0]).view(np.int64)
 
 
 def sketches(mins: np.ndarray) -> np.ndarray:
@@ -89,6 +106,14 @@ def sketches(mins: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(marks << places, axis=2).view(np.int64)
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For every set, the parity of the shingles in each cell, 64 cells to a number."""
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    cells = (np.concatenate(sets) & np.uint64(PARITIES - 1)).astype(np.int64)
+    odd = np.bincount(rows * PARITIES + cells, minlength=len(sets) * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(sets), PARITIES // 64)
+
+
 def _lists(values: np.ndarray) -> pa.Array:
     n, width = values.shape
     return pa.ListArray.from_arrays(
@@ -96,11 +121,14 @@ def _lists(values: np.ndarray) -> pa.Array:
         pa.array(np.ascontiguousarray(values).ravel()))
 
 
-SIGNATURE = "doc_id {id}, digest binary, n_shingles long, bands array<long>, sketch array<long>"
+SIGNATURE = ("doc_id {id}, digest binary, n_shingles long, bands array<long>, sketch array<long>, "
+             "parity array<long>")
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """Per document with a shingle: digest of its set, set size, band keys, sketch."""
+def signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Per document with a shingle: digest of its set, set size, band keys, sketch, parities."""
+    bands, rows = banding(percent)
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in tokens.pieces(batch, "text", PIECE):
@@ -115,8 +143,8 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in full],
                              pa.binary()),
                     pa.array([len(s) for s in full], pa.int64()),
-                    _lists(band_keys(mins)), _lists(sketches(mins)),
-                ], ["doc_id", "digest", "n_shingles", "bands", "sketch"])
+                    _lists(band_keys(mins, bands, rows)), _lists(sketches(mins)), _lists(parities(full)),
+                ], ["doc_id", "digest", "n_shingles", "bands", "sketch", "parity"])
 
     return docs.mapInArrow(sign, SIGNATURE.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
@@ -148,10 +176,24 @@ def differing_marks(a: str, b: str) -> Column:
     return total
 
 
+def may_link(a: str, b: str, percent: int) -> Column:
+    """False only for pairs that cannot be linked; ``a`` and ``b`` end the column names.
+
+    Sets of n and m shingles are linked if at most (n + m) (100 - percent) /
+    (100 + percent) shingles are in one of them only.
+    """
+    cells = F.lit(0)
+    for k in range(PARITIES // 64):
+        cells = cells + F.bit_count(F.get(f"parity_{a}", F.lit(k)).bitwiseXOR(
+            F.get(f"parity_{b}", F.lit(k))))
+    total = F.col(f"n_{a}") + F.col(f"n_{b}")
+    return cells * (100 + percent) <= total * (100 - percent)
+
+
 def similar(a: str, b: str, percent: int) -> Column:
     """Exact test on full sets: 100 * common >= percent * all."""
     common = F.size(F.array_intersect(a, b)).cast("long")
-    return 100 * common >= percent * (F.size(a) + F.size(b) - common)
+    return common * (100 + percent) >= percent * (F.size(a) + F.size(b))
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -173,19 +215,20 @@ def classify(
     """
     scratch = scratch or Scratch(docs.sparkSession, "near-dups")
     docs = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    signed = scratch.write(signatures(docs, shingle), "signatures")
+    signed = scratch.write(signatures(docs, shingle, percent), "signatures")
     classes = scratch.write(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")), "classes")
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        F.first("parity").alias("parity")), "classes")
 
     members = classes.where("rep IS NOT NULL").select("rep", F.explode("bands").alias("bucket"))
-    crowds = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowds = members.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
     shared = scratch.write(members.join(crowds, "bucket"), "shared")
     sets = scratch.write(full_sets(_texts_of(docs, shared.select("rep").distinct()), shingle), "sets")
 
     links = scratch.write(star_links(shared, classes, sets, percent), "links")
     first = components(links, scratch)
-    rest = remaining_links(shared, classes, sets, first, percent)
+    rest = scratch.write(remaining_links(shared, classes, sets, first, percent), "rest")
     joined = first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(rest)
     found = components(joined, scratch)
     scratch.drop(sets, shared, links)
@@ -201,47 +244,47 @@ def classify(
         F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def _marks(classes: DataFrame, name: str) -> DataFrame:
+    return classes.select(F.col("rep").alias(name), *[
+        F.col(c).alias(f"{c}_{name}") for c in ("n", "sketch", "parity")])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar."""
+    return (pairs
+            .join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a")), "u")
+            .join(sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b")), "v")
+            .where(similar("a", "b", percent)).select("u", "v").distinct())
+
+
 def star_links(shared: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the members of a bucket and its most popular member."""
-    company = shared.groupBy("rep").agg(F.sum("n").alias("company"))
+    company = shared.groupBy("rep").agg(F.sum("crowd").alias("company"))
     leaders = shared.select("bucket", "rep").join(company, "rep").groupBy("bucket").agg(
         F.max_by("rep", F.struct("company", "rep")).alias("leader"))
     pairs = shared.join(leaders, "bucket").where("rep <> leader").select(
         F.least("rep", "leader").alias("u"), F.greatest("rep", "leader").alias("v")).distinct()
-    sketch = classes.select("rep", "sketch")
-    hopeful = (pairs
-               .join(sketch.select(F.col("rep").alias("u"), F.col("sketch").alias("su")), "u")
-               .join(sketch.select(F.col("rep").alias("v"), F.col("sketch").alias("sv")), "v")
-               .where(differing_marks("su", "sv") <= MAX_MARKS).select("u", "v"))
-    return (hopeful
-            .join(sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a")), "u")
-            .join(sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b")), "v")
-            .where(similar("a", "b", percent)).select("u", "v").distinct())
+    hopeful = pairs.join(_marks(classes, "u"), "u").join(_marks(classes, "v"), "v").where(
+        (differing_marks("sketch_u", "sketch_v") <= most_marks(percent))
+        & may_link("u", "v", percent)).select("u", "v")
+    return _confirmed(hopeful, sets, percent)
 
 
 def remaining_links(
     shared: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame, percent: int
 ) -> DataFrame:
-    """Links between members of one bucket that are still in different components.
-
-    A pair that shares several buckets is compared in the first of them.
-    """
-    placed = shared.select("bucket", "rep", "n").where("n > 2").join(
+    """Links between members of one bucket that are still in different components."""
+    placed = shared.select("bucket", "rep").where("crowd > 2").join(
         found, F.col("rep") == F.col("node"), "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("comp"))
     open_ = placed.groupBy("bucket").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    rows = (placed.join(open_, "bucket")
-            .join(classes.select("rep", "bands", "sketch"), "rep").join(sets, "rep"))
-    a = rows.select("bucket", *[F.col(c).alias(f"{c}_a") for c in rows.columns if c != "bucket"])
-    b = rows.select("bucket", *[F.col(c).alias(f"{c}_b") for c in rows.columns if c != "bucket"])
-    first = F.get(F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)),
-                           lambda x: x.isNotNull()), F.lit(0)) == F.col("bucket")
-    return a.join(b, "bucket").where(
-        (F.col("comp_a") < F.col("comp_b"))
-        & (differing_marks("sketch_a", "sketch_b") <= MAX_MARKS)
-        & first & similar("shingles_a", "shingles_b", percent)).select(
-        F.col("rep_a").alias("u"), F.col("rep_b").alias("v"))
+    rows = placed.join(open_, "bucket").join(classes.select("rep", "n", "parity"), "rep")
+    u, v = (rows.select("bucket", F.col("rep").alias(x), *[
+        F.col(c).alias(f"{c}_{x}") for c in ("comp", "n", "parity")]) for x in "uv")
+    pairs = u.join(v, "bucket").where(
+        (F.col("comp_u") < F.col("comp_v")) & may_link("u", "v", percent)).select("u", "v").distinct()
+    return _confirmed(pairs, sets, percent)
 
 
 def deduplicate(
