@@ -108,7 +108,8 @@ class SuffixArray:
             key = np.zeros(len(rank), np.int64)
             for offset in offsets:
                 key <<= bits
-                key[:len(rank) - offset] |= rank[offset:]
+                if offset < len(rank):
+                    key[:len(rank) - offset] |= rank[offset:]
             order = np.argsort(key, kind="stable")
             ordered = key[order]
             rank = np.empty_like(key)

@@ -9,8 +9,8 @@ so reruns agree, wherever and in whatever order tasks run.
 
 Null texts and texts without words have size 0 and take nothing. A null source
 is a source of its own, last in order. Rows with equal id, source and size are
-interchangeable. Extra columns are kept by :func:`mix`, whose own columns get
-underscores in front when they clash. An empty table gives an empty result.
+interchangeable. Extra columns are kept by :func:`mix`, whose own column gets an
+underscore in front when it clashes. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.columns import draw_bits, word_count
+from tillwright.llm.columns import draw_bits, fresh_name, word_count
 from tillwright.llm.scratch import Scratch
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -106,7 +106,7 @@ def knapsack(lengths: np.ndarray, spare: np.ndarray, budget: int) -> np.ndarray:
     open_ = [i for i in np.argsort(-lengths, kind="stable") if spare[i] > 0 and lengths[i] > 0]
     if budget <= 0 or not open_:
         return out
-    top = budget + int(lengths[open_[-1]])
+    top = 2 * budget  # anything above is further from the budget than nothing at all
     first = np.full(top + 1, -1, np.int64)
     made = np.zeros(top + 1, bool)
     made[0] = True
@@ -209,9 +209,9 @@ def mix(
         "copies").withColumn("__n", F.row_number().over(deal.orderBy(F.desc("copies"))))
     same = (left["__id"].eqNullSafe(right["__id"]) & (left["__skey"] == right["__skey"])
             & (left["__size"] == right["__size"]) & (left["__n"] == right["__n"]))
-    out = left.join(right, same).where("copies > 0")
+    out = left.join(right, same).where(right["copies"] > 0)
     columns: list[Column] = [left[f"`{c}`"] for c in docs.columns]
     if repeat:
-        return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
+        return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), right["copies"]))).select(
             *columns)
-    return out.select(*columns, right["copies"].alias("copies"))
+    return out.select(*columns, right["copies"].alias(fresh_name(docs, "copies")))
