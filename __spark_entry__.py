@@ -8,7 +8,9 @@ unrounded numbers and real dates.
 from __future__ import annotations
 
 import os
+import shutil
 import sys
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -306,6 +308,38 @@ def group_numbers(spark, sf_dir):
     ).agg(F.count("*").alias("files"))
 
 
+def _drop_file(df, folder, name):
+    """One CSV file of a drop, as another system would put it there."""
+    spark = df.sparkSession
+    sinks.write_csv(df.coalesce(1), f"{folder}/_{name}")
+    part = manifest.newest(manifest.listing(spark, f"{folder}/_{name}", "part-*"))
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.csv")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.rename(spark._jvm.org.apache.hadoop.fs.Path(part), target)
+
+
+@query
+def drop_to_standardized(spark, sf_dir):
+    """Files of two groups, one of them complete, through the raw layer to a stored table."""
+    base = workspace.fresh_path(spark, "drop")
+    sold = bridge.raw_transactions(spark, sf_dir).where("`group` = 'group2'").drop(
+        "name", "hire_date", "location", "establish_date", "class", "group")
+    agents = bridge.table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS sales_person_id", "s_name AS name",
+        "DATE '2015-01-01' + CAST(s_suppkey % 3000 AS INT) AS hire_date")
+    branches = bridge.table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS branch_id", "n_name AS location",
+        "DATE '2000-01-01' + CAST(n_nationkey * 30 AS INT) AS establish_date",
+        "substr('ABCD', n_nationkey % 4 + 1, 1) AS class")
+    _drop_file(branches, f"{base}/drops/group1", "branches_SS_raw_1")
+    for name, rows in (("branches", branches), ("sales_agents", agents), ("sales_transactions", sold)):
+        _drop_file(rows, f"{base}/drops/group2", f"{name}_SS_raw_2")
+    path = merge.land(spark, f"{base}/drops", f"{base}/raw", RUN_STAMP, F.current_timestamp())
+    raw = readers.read_csv(spark, path, schemas.RAW)
+    paths = standardize.run(raw, f"{base}/standardized", RUN_STAMP)
+    return _plain(readers.read_with_sidecar(spark, paths["online"]))
+
+
 # --- files -----------------------------------------------------------------------
 
 
@@ -908,6 +942,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return most_selling_products_online(spark, "/root/testdata/sf0.001")
 
 
+_shipped_to: set[str] = set()
+
+
+def _shipped(fn: Query) -> Query:
+    """Send the package to the Python workers first, wherever the driver was started."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        if context.applicationId not in _shipped_to:
+            folder = os.path.realpath(tempfile.mkdtemp())
+            root = os.path.dirname(os.path.abspath(__file__))
+            context.addPyFile(shutil.make_archive(f"{folder}/tillwright", "zip", root, "tillwright"))
+            _shipped_to.add(context.applicationId)
+        return fn(spark, sf_dir)
+    return run
+
+
 def _pipeline_parts() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the training-data operators; none where they are not installed."""
     try:
@@ -919,6 +969,7 @@ def _pipeline_parts() -> tuple[dict[str, Query], dict[str, str]]:
         raise
     found, sql = dict(operators.QUERIES), dict(operators.ORACLES)
     found["pipeline"] = corpus_pipeline.run
+    found = {name: _shipped(fn) for name, fn in found.items()}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, sql

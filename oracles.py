@@ -374,6 +374,8 @@ def build() -> dict[str, str]:
             CAST(CASE WHEN "group" > 'group3' THEN 2 ELSE 1 END AS INTEGER) AS day"""),
         "standardized_store":
             f"WITH {STD} SELECT {ONLINE} FROM std WHERE transaction_type = 'online'",
+        "drop_to_standardized": f"""WITH {STD} SELECT {ONLINE} FROM std
+            WHERE transaction_type = 'online' AND "group" = 'group2'""",
         "incremental_new_rows": f"""WITH {STD}, chan AS (SELECT * FROM std
             WHERE transaction_type = 'online'), {two_loads('online', 'chan', _ONLINE_PLAIN)}
             SELECT {ONLINE} FROM online_fresh""",
