@@ -817,14 +817,17 @@ def _events(spark, sf_dir):
     return ev.decode(bridge.event_messages(bridge.table(spark, sf_dir, "events")))
 
 
-@query
-def event_decode(spark, sf_dir):
-    flat = _events(spark, sf_dir).select(
+def _flat_events(events):
+    return _plain(events.select(
         "eventType", "customerId", "productId", "timestamp",
         F.col("metadata.category").alias("category"), F.col("metadata.source").alias("source"),
         "quantity", "totalAmount",
-        "paymentMethod", "recommendedProductId", "algorithm", "date")
-    return _plain(flat)
+        "paymentMethod", "recommendedProductId", "algorithm", "date"))
+
+
+@query
+def event_decode(spark, sf_dir):
+    return _flat_events(_events(spark, sf_dir))
 
 
 @query
@@ -868,8 +871,7 @@ def product_inventory(spark, sf_dir):
 
 @query
 def latest_event_per_customer(spark, sf_dir):
-    latest = stream_sinks.newest_per_customer(_events(spark, sf_dir))
-    return _plain(latest.select("customerId", "timestamp"))
+    return _flat_events(stream_sinks.newest_per_customer(_events(spark, sf_dir)))
 
 
 def _stream(spark, sf_dir):
@@ -916,8 +918,7 @@ def stream_latest_per_customer(spark, sf_dir):
     base = workspace.fresh_path(spark, "stream-latest")
     stream_sinks.write_latest(_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint",
                               stream_sinks.DRAIN).awaitTermination()
-    latest = stream_sinks.latest_snapshot(spark, f"{base}/out")
-    return _plain(latest.select("customerId", "timestamp"))
+    return _flat_events(stream_sinks.latest_snapshot(spark, f"{base}/out"))
 
 
 @query

@@ -253,8 +253,15 @@ def amounts(count: str, total: str, mean: str) -> str:
 
 
 HOUR, DAY_S = 3600, 86400
-LATEST = f"""WITH {messages()} SELECT "customerId",
-    strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') AS timestamp FROM events_ GROUP BY 1"""
+_FLAT = """"eventType", "customerId", "productId",
+    strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, category, source,
+    quantity, "totalAmount", "paymentMethod", "recommendedProductId", algorithm,
+    CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date"""
+_TIE = ", ".join(f'"{c}" DESC NULLS LAST' for c in (
+    "eventType", "productId", "category", "source", "quantity", "totalAmount", "paymentMethod",
+    "recommendedProductId", "algorithm"))
+LATEST = f"""WITH {messages()} SELECT {_FLAT} FROM events_ QUALIFY row_number() OVER (
+    PARTITION BY "customerId" ORDER BY timestamp DESC, {_TIE}) = 1"""
 
 
 def window_count(name: str, seconds: int, key: str, delay: int) -> str:

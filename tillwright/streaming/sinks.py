@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,10 +59,14 @@ def write_view(
 #
 # Each micro-batch writes its newest event per customer to a directory of its
 # own, named by the batch: the cost of a batch is that of its customers, and a
-# replayed batch overwrites its own directory. Readers take the newest entry per
-# customer; ``compact`` folds old batches together.
+# replayed batch overwrites its own directory. Every ``FOLD_EVERY`` batches, the
+# stream folds them and the last fold into a new one. What a fold has replaced is
+# deleted one fold later, so that a running reader keeps its files. The table
+# holds at most two folds and twice as many batches, however long the stream runs.
 
 KEY, TIME = "customerId", "timestamp"
+BATCH = "__batch"
+FOLD_EVERY = 16
 
 
 def newest_per_customer(events: DataFrame) -> DataFrame:
@@ -75,21 +80,57 @@ def newest_per_customer(events: DataFrame) -> DataFrame:
     return newest.select(KEY, "row.*").select(*events.columns)
 
 
-def upsert_latest(path: str):
+def upsert_latest(path: str, fold_every: int = FOLD_EVERY):
     """``foreachBatch`` callback that puts the batch into the table at ``path``."""
 
     def put(batch: DataFrame, epoch: int) -> None:
         newest_per_customer(batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        if (epoch + 1) % fold_every == 0:
+            _fold(batch.sparkSession, path, epoch, fold_every)
 
     return put
 
 
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the finished directories ``kind=N`` below ``path``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}=*/_SUCCESS")) or []
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+
+
+def _fold(spark: SparkSession, path: str, epoch: int, every: int) -> None:
+    """Safe to repeat: a finished fold is not made again from batches that may be gone."""
+    if epoch not in _numbers(spark, path, "fold"):
+        _newest(_puts(spark, path, epoch)).write.mode("overwrite").parquet(f"{path}/fold={epoch}")
+    for kind in ("epoch", "fold"):
+        for number in _numbers(spark, path, kind):
+            if number <= epoch - every:
+                target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}={number}")
+                target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _puts(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The last fold (before a batch) and the batches after it, each row with its batch."""
+    folds = [n for n in _numbers(spark, path, "fold") if before is None or n < before]
+    last = max(folds, default=-2)
+    parts = [spark.read.parquet(f"{path}/fold={last}")] if folds else []
+    for number in _numbers(spark, path, "epoch"):
+        if number > last and (before is None or number <= before):
+            rows = spark.read.parquet(f"{path}/epoch={number}")
+            parts.append(rows.withColumn(BATCH, F.lit(number)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _newest(puts: DataFrame) -> DataFrame:
+    others = [c for c in puts.columns if c not in (KEY, TIME, BATCH)]
+    newest = puts.groupBy(KEY).agg(F.max(F.struct(TIME, BATCH, *others)).alias("row"))
+    return newest.select(KEY, "row.*")
+
+
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Newest event per customer over all batches; a later batch wins on equal time."""
-    puts = spark.read.option("basePath", path).parquet(f"{path}/epoch=*")
-    others = [c for c in puts.columns if c not in (KEY, TIME, "epoch")]
-    newest = puts.groupBy(KEY).agg(F.max(F.struct(TIME, "epoch", *others)).alias("row"))
-    return newest.select(KEY, "row.*").drop("epoch")
+    return _newest(_puts(spark, path)).drop(BATCH)
 
 
 def compact(spark: SparkSession, path: str, target: str) -> DataFrame:
