@@ -48,16 +48,19 @@ def test_round_trip(spark, folder, split):
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         back = warc.pages(spark, path).collect()
+        bodies = warc.records(spark, path).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     got = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in back)
     assert got == expected(rows)
     texts = {i: (t or "").encode() for i, _, t in rows}
-    for r in back:
-        if r["record_type"] == "response":
-            assert bytes(r["payload"]) == texts[r["page_id"]]
-            assert r["intact"] is True
+    assert all(r["intact"] is (True if r["record_type"] == "response" else None) for r in back)
+    for r in bodies:
+        head, _, payload = bytes(r["body"]).partition(b"\r\n\r\n")
+        page = int(r["header"].split("<urn:page:")[1].split(">")[0])
+        assert payload == (texts[page] if "WARC-Type: response" in r["header"] else b"")
+        assert head.endswith(f"Content-Length: {len(texts[page])}".encode())
 
 
 def test_record_bytes(spark, folder):

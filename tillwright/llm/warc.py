@@ -26,12 +26,19 @@ the check of the chain finds.
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwright.llm.scratch import Scratch
 
 MIN_DEDUP = 100
+#: Of about 100 bytes each.
+BROADCAST_DIGESTS = 100_000
 GAP = "\r\n\r\n"
 MAGIC = "WARC/1."
 MARK = GAP + MAGIC
@@ -43,8 +50,9 @@ DATE = "2024-07-12T00:00:00Z"
 def decide(pages: DataFrame, key: str = "page_id", payload: str = "html", url: str = "url") -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
 
-    Groups of equal payloads are found by digest, pre-aggregated in the tasks; only
-    digests with copies go into the join, whose skewed partitions are split.
+    Groups of equal payloads are found by digest, pre-aggregated in the tasks. Only
+    digests with copies go into the join: a bounded number of them is broadcast, so
+    that payloads do not move, more are joined by shuffle.
     """
     text = F.coalesce(F.col(f"`{payload}`"), F.lit(""))
     rows = pages.select(
@@ -55,6 +63,8 @@ def decide(pages: DataFrame, key: str = "page_id", payload: str = "html", url: s
     big = F.col("payload_bytes") >= MIN_DEDUP
     groups = rows.where(big).groupBy("payload_digest").agg(
         F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    if groups.count() <= BROADCAST_DIGESTS:
+        groups = F.broadcast(groups)
     joined = rows.join(groups.withColumnRenamed("payload_digest", "__digest"),
                        big & (F.col("payload_digest") == F.col("__digest")), "left")
     revisit = F.coalesce(F.col("page_id") > F.col("first"), F.lit(False))
@@ -99,43 +109,109 @@ def write(pages: DataFrame, path: str, **columns) -> None:
 # --- reading -----------------------------------------------------------------------
 
 
-def chunks(spark: SparkSession, path: str) -> DataFrame:
-    """file, split, offset, value: pieces between marks; ``offset`` is that of their bytes."""
-    read = spark.read.option("lineSep", MARK).text(path).select(
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("lineSep", MARK).text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("place"), "value")
-    size = F.octet_length("value") + F.lit(len(MARK))
-    in_split = Window.partitionBy("file", "split").orderBy("place").rowsBetween(
-        Window.unboundedPreceding, -1)
-    sums = read.groupBy("file", "split").agg(F.sum(size).alias("bytes"))
-    # One small row per split; the splits of one file are a bounded group.
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("file", "split", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start"))
-    return read.withColumn("__in", F.coalesce(F.sum(size).over(in_split), F.lit(0))).join(
-        starts, ["file", "split"]).select(
-        "file", "split", (F.col("start") + F.col("__in")).alias("offset"), "value")
+        F.col("_metadata.file_block_start").alias("split"), "value")
 
 
-def candidates(pieces: DataFrame) -> DataFrame:
-    """Chunks that begin like a record: file, split, chunk, offset, header, length, successor.
+SCAN = ("file string, split long, at long, size long, header string, length long, "
+        "payload_bytes long, sha256 string, whole boolean")
+_START = re.compile(rb"WARC/1\.[01]\r\n")
+_LENGTH = re.compile(rb"\r\nContent-Length:[ \t]*([0-9]{1,18})[ \t]*(?:\r\n|$)", re.IGNORECASE)
 
-    ``offset`` is that of the magic. A header ends at the first blank line; one
-    that ends with its chunk is followed by a payload that begins with the magic.
+
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """One row per chunk that begins like a record, and one per split with its size.
+
+    ``at`` is the place within the split, ``size`` the bytes of the header or, where
+    that is null, of the split. A record that lies in its chunk is digested on the
+    way, so payloads are read once and never moved.
+    """
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at = None, 0
+        for batch in batches:
+            out = []
+            for file, split, value in zip(*[c.to_pylist() for c in batch.columns]):
+                if now != (file, split):
+                    if now:
+                        out.append((*now, at, at, None, None, None, None, None))
+                    now, at = (file, split), 0
+                found = _candidate(value, split == 0 and at == 0)
+                if found:
+                    out.append((file, split, at, *found))
+                at += len(value) + len(MARK)
+            yield _rows(out)
+        if now:
+            yield _rows([(*now, at, at, None, None, None, None, None)])
+
+    return _read(spark, path).withColumn("value", F.col("value").cast("binary")).mapInArrow(look, SCAN)
+
+
+def _rows(rows: list) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(),
+             pa.string(), pa.bool_()]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    names = [field.split()[0] for field in SCAN.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def _candidate(value: bytes, first: bool):
+    """(header bytes, header, length, payload bytes, digest, whole) or None.
+
+    A header ends at the first blank line; one that ends with its chunk is followed
+    by a payload that begins with the magic.
     """
-    first = F.col("offset") == 0
-    headed = pieces.withColumn("__gap", F.instr("value", GAP)).withColumn(
-        "__head", F.when(F.col("__gap") > 0, F.substring(
-            F.col("value"), F.lit(1), F.col("__gap") - 1)).otherwise(F.col("value"))).withColumn(
-        "header", F.when(first, F.col("__head")).otherwise(F.concat(F.lit(MAGIC), F.col("__head"))))
-    length = F.regexp_extract(
-        "header", r"(?i)\r\nContent-Length:[ \t]*([0-9]{1,18})[ \t]*(?:\r\n|$)", 1)
-    block = F.col("offset") + F.octet_length("__head") + F.lit(len(GAP))
-    return headed.where(F.col("header").rlike(r"^WARC/1\.[01]\r\n") & (length != "")).select(
-        "file", "split", F.col("offset").alias("chunk"),
-        F.when(first, F.lit(0)).otherwise(F.col("offset") - len(MAGIC)).alias("offset"),
-        "header", length.cast("long").alias("length"),
-        (block + length.cast("long") + F.lit(len(GAP))).alias("successor"))
+    gap = value.find(GAP.encode())
+    head = value if gap < 0 else value[:gap]
+    header = head if first else MAGIC.encode() + head
+    length = _LENGTH.search(header)
+    if not _START.match(header) or not length:
+        return None
+    n, start = int(length[1]), len(head) + len(GAP)
+    whole = gap >= 0 and start + n <= len(value)
+    stated = digest = None
+    if whole:
+        block = value[start:start + n]
+        cut = block.find(GAP.encode())
+        told = _LENGTH.search(block[:cut]) if cut >= 0 else None
+        stated = int(told[1]) if told else None
+        digest = hashlib.sha256(block[cut + len(GAP):] if cut >= 0 else block).hexdigest()
+    return len(head), header.decode("utf-8", "replace"), n, stated, digest, whole
+
+
+def _split_starts(scanned: DataFrame) -> DataFrame:
+    """file, split, start, end of each split's chunks: sums over small rows, one per split."""
+    before = Window.partitionBy("file").orderBy("split")
+    return scanned.where("header IS NULL").select("file", "split", (
+        F.sum("size").over(before) - F.col("size")).alias("start"), "size")
+
+
+def candidates(scanned: DataFrame) -> DataFrame:
+    """The records that chunks may be: file, split, chunk, offset, header, length, successor, ...
+
+    ``chunk`` is the offset of the chunk, ``offset`` that of the magic before it.
+    """
+    placed = scanned.where("header IS NOT NULL").join(
+        _split_starts(scanned).drop("size"), ["file", "split"]).withColumn(
+        "chunk", F.col("start") + F.col("at"))
+    return placed.select(
+        "file", "split", "chunk",
+        F.when(F.col("chunk") == 0, 0).otherwise(F.col("chunk") - len(MAGIC)).alias("offset"),
+        "header", "length",
+        (F.col("chunk") + F.col("size") + F.col("length") + 2 * len(GAP)).alias("successor"),
+        "payload_bytes", "sha256", "whole")
+
+
+def chunks(spark: SparkSession, path: str, scanned: DataFrame) -> DataFrame:
+    """file, split, offset, value: the chunks with the offset of their bytes."""
+    read = _read(spark, path).withColumn("place", F.monotonically_increasing_id())
+    in_split = Window.partitionBy("file", "split").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, -1)
+    size = F.octet_length("value") + F.lit(len(MARK))
+    return read.withColumn("__in", F.coalesce(F.sum(size).over(in_split), F.lit(0))).join(
+        _split_starts(scanned).drop("size"), ["file", "split"]).select(
+        "file", "split", (F.col("start") + F.col("__in")).alias("offset"), "value")
 
 
 def runs(found: DataFrame) -> DataFrame:
@@ -193,23 +269,29 @@ def reachable(links: DataFrame, scratch: Scratch) -> DataFrame:
     return reached
 
 
+def found_records(
+    spark: SparkSession, path: str, scratch: Scratch, strict: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The true records of the archives at ``path``, without bodies, and the scan they are from."""
+    scanned = scratch.write(scan(spark, path), "scan")
+    true = scratch.write(true_records(candidates(scanned), scratch), "records")
+    if strict:
+        _check_ends(scanned, true)
+    return true, scanned
+
+
 def records(
     spark: SparkSession, path: str, scratch: Scratch | None = None, strict: bool = True,
 ) -> DataFrame:
-    """file, offset, header, body of every record of the archives at ``path``."""
-    scratch = scratch or Scratch(spark, "warc")
-    pieces = scratch.write(chunks(spark, path), "chunks")
-    found = scratch.write(candidates(pieces), "candidates")
-    true = scratch.write(true_records(found, scratch), "records")
-    if strict:
-        _check_ends(pieces, true)
-    return _with_bodies(pieces, true)
+    """file, offset, header, length, body of every record of the archives at ``path``."""
+    true, scanned = found_records(spark, path, scratch or Scratch(spark, "warc"), strict)
+    return _with_bodies(chunks(spark, path, scanned), true)
 
 
-def _check_ends(pieces: DataFrame, true: DataFrame) -> None:
-    """Every chain must end with its file, whose last bytes are a blank line pair."""
-    ends = pieces.groupBy("file").agg(
-        F.max(F.col("offset") + F.octet_length("value")).alias("end"))
+def _check_ends(scanned: DataFrame, true: DataFrame) -> None:
+    """Every chain must end with its file, whose last chunk has no mark behind it."""
+    ends = _split_starts(scanned).groupBy("file").agg(
+        (F.max(F.col("start") + F.col("size")) - len(MARK)).alias("end"))
     last = true.groupBy("file").agg(F.max("successor").alias("last"))
     broken = ends.join(last, "file", "left").where("last IS NULL OR last <> end").first()
     if broken:
@@ -236,12 +318,12 @@ def _with_bodies(pieces: DataFrame, true: DataFrame) -> DataFrame:
     gathered = placed.groupBy("file", "record").agg(
         F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("parts")).select(
         "file", F.col("record").alias("offset"),
-        F.concat_ws(MARK, F.transform("parts", lambda p: p["value"])).alias("whole"))
+        F.concat_ws(MARK, F.transform("parts", lambda p: p["value"])).alias("joined"))
     # The magic is not part of a chunk, but for the first of a file.
     head = F.octet_length("header") - F.when(F.col("offset") == 0, 0).otherwise(len(MAGIC))
     return true.join(gathered, ["file", "offset"]).select(
         "file", "offset", "header", "length", F.substring(
-            F.col("whole").cast("binary"), (head + len(GAP) + 1).cast("int"),
+            F.col("joined").cast("binary"), (head + len(GAP) + 1).cast("int"),
             F.col("length").cast("int")).alias("body"))
 
 
@@ -250,25 +332,34 @@ def _header(name: str, of: str = "header") -> Column:
     return F.when(value != "", value)
 
 
-def pages(spark: SparkSession, path: str, kind: str = "bigint", **options) -> DataFrame:
+def pages(
+    spark: SparkSession, path: str, kind: str = "bigint", scratch: Scratch | None = None,
+    strict: bool = True,
+) -> DataFrame:
     """What the archives tell of each page; the digest of stored payloads is checked.
 
-    ``intact`` is null for a revisit, which has no payload of its own.
+    ``intact`` is null for a revisit, which has no payload of its own. Payloads that
+    hold a mark were cut into several chunks; only they are put together again.
     """
-    rows = records(spark, path, **options)
-    text = F.col("body").cast("string")
-    head_size = F.instr(text, GAP) + F.lit(len(GAP) - 1)
+    true, scanned = found_records(spark, path, scratch or Scratch(spark, "warc"), strict)
+    cut = true.where("NOT whole")
+    told = true.where("whole").select("header", "payload_bytes", "sha256")
+    if cut.first():
+        pieces = chunks(spark, path, scanned).join(cut.select("file").distinct(), "file", "left_semi")
+        bodies = _with_bodies(pieces, true).join(cut.select("file", "offset"), ["file", "offset"], "left_semi")
+        text = F.col("body").cast("string")
+        payload = F.substring(F.col("body"), F.instr(text, GAP) + len(GAP), F.octet_length("body"))
+        told = told.unionByName(bodies.select(
+            "header", F.regexp_extract(text, r"(?i)\r\nContent-Length:[ \t]*([0-9]+)", 1)
+            .cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("sha256")))
     page = F.regexp_extract(_header("WARC-Record-ID"), "<urn:page:(.*)>", 1)
     target = F.regexp_extract(_header("WARC-Refers-To"), "<urn:page:(.*)>", 1)
-    parsed = rows.select(
-        F.when(page != "", page).try_cast(kind).alias("page_id"),
-        F.regexp_extract(text, r"(?i)\r\nContent-Length:[ \t]*([0-9]+)", 1).try_cast("long")
-        .alias("payload_bytes"),
+    parsed = told.select(
+        F.when(page != "", page).try_cast(kind).alias("page_id"), "payload_bytes",
         F.regexp_extract(_header("WARC-Payload-Digest"), "sha256:([0-9a-f]*)", 1).alias("payload_digest"),
         _header("WARC-Type").alias("record_type"),
         F.when(target != "", target).try_cast(kind).alias("refers_to"),
-        _header("WARC-Target-URI").alias("url"),
-        F.substring(F.col("body"), head_size + 1, F.octet_length("body")).alias("payload"))
-    stored = F.sha2("payload", 256) == F.col("payload_digest")
-    return parsed.withColumn("intact", F.when(F.col("record_type") == "response", stored))
-
+        _header("WARC-Target-URI").alias("url"), "sha256")
+    stored = F.col("sha256") == F.col("payload_digest")
+    return parsed.withColumn(
+        "intact", F.when(F.col("record_type") == "response", stored)).drop("sha256")
