@@ -414,6 +414,36 @@ def external_table_best_sellers(spark, sf_dir):
         spark.table(f"{database}.product_dim")), TotalRevenue=3)
 
 
+@query
+def external_tables(spark, sf_dir):
+    """All seven star tables as external tables over CSV files, counted by name."""
+    path = workspace.fresh_path(spark, "star-tables")
+    common = ["product_key", "customer_key", "date_key", "units", "discount", "total_price",
+              "payment_method"]
+    star = {
+        "branches_dim": bridge.branch_dim(spark, sf_dir),
+        "sales_agent_dim": bridge.sales_agent_dim(spark, sf_dir),
+        "product_dim": bridge.product_dim(spark, sf_dir),
+        "customer_dim": bridge.customer_dim(spark, sf_dir),
+        "date_dim": _day(spark, sf_dir),
+        "offline_transactions_fact": bridge.sales(
+            spark, sf_dir, *common, "branch_key", "sales_agent_key", channel="offline"),
+        "online_transactions_fact": bridge.sales(
+            spark, sf_dir, *common, "shipping_state", "shipping_city", channel="online"),
+    }
+    for name, rows in star.items():
+        sinks.write_csv(rows, f"{path}/{name}")
+    database = "star_" + path.rsplit("-", 1)[-1]
+    tables.create_external(
+        spark, database, {name: (rows.schema, f"{path}/{name}") for name, rows in star.items()},
+        location=f"{path}/database")
+    return channels.stack(*[
+        spark.table(f"{database}.{name}").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows"),
+            F.count(F.col(rows.columns[0])).alias("with_first_column"))
+        for name, rows in star.items()])
+
+
 # --- incremental loading -----------------------------------------------------------
 
 
@@ -801,6 +831,19 @@ def lowest_sales_cities_offline(spark, sf_dir):
                   total_sales=3)
 
 
+@query
+def registered_views(spark, sf_dir):
+    """The eight views by their names in the session."""
+    columns = ["product_key", "units", "discount", "total_price"]
+    names = views.register(
+        _fact(spark, sf_dir, "online", *columns, "shipping_city"),
+        _fact(spark, sf_dir, "offline", *columns, "branch_key"),
+        bridge.product_dim(spark, sf_dir), bridge.branch_dim(spark, sf_dir), prefix="report_")
+    return channels.stack(*[
+        spark.table(name).agg(F.lit(name).alias("view_name"), F.count("*").alias("rows"))
+        for name in names])
+
+
 @query
 def daily_agent_dump(spark, sf_dir):
     _, offline = _channels(spark, sf_dir)

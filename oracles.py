@@ -593,10 +593,23 @@ def build() -> dict[str, str]:
             count(*) AS most_redeemed_offers_per_product""",
             f"{PRODUCT} WHERE discount > 0 GROUP BY 1, 2, 3", channel)
     out["external_table_best_sellers"] = out["most_selling_products_online"]
+    days = "(SELECT DISTINCT d FROM (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders))"
+    out["external_tables"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows, count(*) AS with_first_column FROM {source}"
+        for name, source in (
+            ("branches_dim", "nation"), ("sales_agent_dim", "supplier"), ("product_dim", "part"),
+            ("customer_dim", "customer"), ("date_dim", days),
+            ("offline_transactions_fact", "lineitem WHERE l_orderkey % 2 <> 0"),
+            ("online_transactions_fact", "lineitem WHERE l_orderkey % 2 = 0")))
     out["lowest_sales_cities_online"] = sales(
         ["shipping_city"], f"shipping_city AS city, {TOTAL}",
         "GROUP BY 1 ORDER BY 2, 1 LIMIT 10", "online")
     out["lowest_sales_cities_offline"] = sales(
         ["branch_key"], f"n_name AS city, {TOTAL}",
         f"{BRANCH} GROUP BY 1 ORDER BY 2, 1 LIMIT 10", "offline")
+    out["registered_views"] = " UNION ALL ".join(
+        f"SELECT 'report_{name}' AS view_name, (SELECT count(*) FROM ({out[name]})) AS rows"
+        for name in [f"{view}_{channel}" for channel in ("online", "offline") for view in (
+            "most_selling_products", "most_redeemed_offers", "most_redeemed_offers_per_product",
+            "lowest_sales_cities")])
     return out
