@@ -19,6 +19,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = workspace.fresh_path(spark, name)
+        self._name = self.base.rsplit("/", 1)[-1]  # the same in any spelling of the path
         self._written = 0
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -33,7 +34,7 @@ class Scratch:
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-                if folder.startswith(self.base) or self.base.split(":")[-1] in folder:
+                if f"/{self._name}/" in folder:
                     self._delete(folder)
 
     def close(self) -> None:
