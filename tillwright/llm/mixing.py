@@ -85,8 +85,9 @@ def plan_source(lengths: np.ndarray, counts: np.ndarray, target: float) -> tuple
     usable = lengths > 0
     taken[usable] = np.floor(counts[usable] * (budget / total)).astype(np.int64)
     rest = budget - int((taken * lengths).sum())
-    # One more of each length, the longest first, until two long documents remain.
-    margin = 2 * int(lengths.max())
+    # One more of each length, the longest first, while more remains than the
+    # knapsack should settle: a few long documents and some thousand words.
+    margin = 4 * int(lengths.max()) + 4096
     for i in np.argsort(-lengths, kind="stable"):
         if usable[i] and taken[i] < counts[i] and lengths[i] <= rest - margin:
             taken[i] += 1
