@@ -191,7 +191,9 @@ def spans(
 
     texts = _rows_with(docs, wanted.select("doc_id")).dropDuplicates(["doc_id", "text"])
     around = scratch.write(stretches_around(texts.join(wanted, "doc_id")), "around")
-    twice = _in_two(around.select("key", F.col("doc_id").alias("lo"), F.col("doc_id").alias("hi")))
+    # Stored, so that the join with it shuffles both sides and splits a hot key's rows.
+    twice = scratch.write(_in_two(around.select(
+        "key", F.col("doc_id").alias("lo"), F.col("doc_id").alias("hi"))), "twice")
     starts = around.join(twice, "key", "left_semi").select("doc_id", "start").unionAll(
         matched.where("far").select("doc_id", F.col("pos").alias("start")))
     return _joined(starts)
