@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,15 +122,15 @@ def slotted(
         partition = TaskContext.get().partitionId()
         at = firsts.get(partition, 0)
         end = at + counts.get(partition, 0)
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack, pack_head = zstandard.ZstdCompressor(level=1).compress, struct.Struct("<qii").pack
         for ids, all_ in _encoded(batches, vocabulary):
             records = []
             for doc_id, ids_ in zip(ids.to_pylist(), all_):
-                whole = np.array(ids_, np.uint16)
+                whole = array("H", ids_)
                 for part, start in enumerate(range(0, len(whole), length)):
                     held = whole[start:start + length]
-                    head = np.array((NO_ID if doc_id is None else doc_id, part, len(held)), _HEAD)
-                    records.append(pack(head.tobytes() + held.tobytes()))
+                    head = pack_head(NO_ID if doc_id is None else doc_id, part, len(held))
+                    records.append(pack(head + held.tobytes()))
             numbers = np.arange(at, at + len(records))
             at += len(records)
             if at > end:
