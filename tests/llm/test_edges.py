@@ -432,6 +432,20 @@ def test_toxicity(spark):
     assert toxicity.fit(docs, labels.limit(0)).score(pa.array(["x", None]))[0].tolist() == [0.5, 0.5]
 
 
+def test_toxicity_keeps_every_example(spark):
+    """Examples with shared boilerplate, and copies with either label, all stay."""
+    shared = " ".join(f"notice{i}" for i in range(40))
+    rows = [(i, f"{shared} " + " ".join(f"own{i}_{j}" for j in range(80)), "s") for i in range(100)]
+    rows += [(i, "one and the same text", "s") for i in range(100, 140)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _, _ in rows], "doc_id long, toxic int")
+    scratch = Scratch(spark, "examples")
+    got = toxicity.examples(frame(spark, rows), labels, "toxic", "doc_id", "text", 8192, scratch).collect()
+    usable = labels.where(~quality_classifier.held_out(F.col("doc_id"))).collect()
+    assert sorted((r["id"], r["label"], r["prior"]) for r in got) == sorted(
+        (r["doc_id"], r["toxic"], 1.0) for r in usable)
+    scratch.close()
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(1)
     n, terms = 700, 30

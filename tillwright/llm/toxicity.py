@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Examples are labelled texts, at most ``MAX_PER_LABEL`` of each label, less near
-copies of each other. Terms are words whose presence goes with the toxic label
+Examples are labelled texts, at most ``MAX_PER_LABEL`` of each label; copies of
+each other all stay. Terms are words whose presence goes with the toxic label
 far beyond chance; their weight falls with the number of documents of the whole
 corpus that hold them. Examples are stored in an inverted index whose postings
 are cut into blocks of neighbouring examples, with the largest weight of each
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwright.llm import near_dups, tokens
+from tillwright.llm import tokens
 from tillwright.llm.columns import draw_bits
 from tillwright.llm.quality_classifier import held_out
 from tillwright.llm.scratch import Scratch
@@ -43,7 +43,6 @@ BLOCK = 64
 SOFTEN = 0.1           # added to a distance before it divides a vote
 ACCEPT = 0.5
 PIECE = 2 << 20
-COPY_KEYS = 4
 
 
 # --- vectors -----------------------------------------------------------------------
@@ -172,9 +171,9 @@ def _groups(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def examples(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, most: int,
              scratch: Scratch) -> DataFrame:
-    """(id, text, label, prior) of labelled rows that are not held out, less near copies.
+    """(id, text, label, prior) of labelled rows that are not held out, copies included.
 
-    ``prior`` is the number of labelled rows that one of them stands for.
+    ``prior`` is the number of labelled rows that one of them stands for. An id counts once.
     """
     usable = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).where(
         F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id"))).distinct()
@@ -186,27 +185,8 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str
     chosen = usable.where(draw_bits(F.col("id"), F.lit("examples")) < limit)
     found = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    rows = scratch.write(found.select("id", "text", "label", prior.alias("prior")), "examples")
-
-    def copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in tokens.pieces(batch, "text", PIECE):
-                sets = near_dups.shingle_sets(piece.column("text"), 3)
-                some = [i for i, s in enumerate(sets) if len(s)]
-                if some:
-                    mins = near_dups.minima([sets[i] for i in some])[:, :COPY_KEYS]
-                    keys = tokens.mixed(mins + np.arange(COPY_KEYS, dtype=np.uint64)
-                                        * np.uint64(1 << 40)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [piece.column("id").take(pa.array(some)), near_dups._lists(keys)],
-                        ["id", "keys"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    keys = rows.select("id", "text").mapInArrow(copy_keys, f"id {kind}, keys array<long>").select(
-        "id", F.explode("keys").alias("key"))
-    first = keys.groupBy("key").agg(F.min("id").alias("first"))
-    copies = keys.join(first, "key").where("id <> first").select("id").distinct()
-    return scratch.write(rows.join(copies, "id", "left_anti").dropDuplicates(["id"]), "distinct")
+    rows = found.select("id", "text", "label", prior.alias("prior")).dropDuplicates(["id"])
+    return scratch.write(rows, "examples")
 
 
 def select_terms(rows: DataFrame, most: int = MAX_TERMS) -> np.ndarray:
