@@ -377,6 +377,21 @@ def test_quality_rules(spark):
     assert kept.count() == sum(r["kept"] for r in got)
 
 
+@pytest.mark.parametrize("seeds, rate", [([10, 446, 495], 0.01), ([335], 0.02)])
+def test_repeats_of_near_copies(spark, seeds, rate):
+    """Four copies of a text with scattered word edits, which need a stretch inside a chain."""
+    rows = []
+    for seed in seeds:
+        rng = random.Random(seed)
+        base = [f"f{seed}_{i}" for i in range(400)]
+        for k in range(4):
+            words = [w if rng.random() > rate else f"e{seed}_{k}_{i}" for i, w in enumerate(base)]
+            rows.append((4 * seed + k, " ".join(words), "s"))
+    got = sorted((r["doc_id"], r["start_word"], r["n_words"])
+                 for r in repeats.spans(frame(spark, rows)).collect())
+    assert got == brute_spans(rows, 50)
+
+
 def labelled(spark, n=600):
     rng = random.Random(11)
     good = [f"word{i}" for i in range(200)]

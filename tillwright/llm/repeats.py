@@ -8,9 +8,9 @@ inside the passage, at the same place in all its copies.
 The kept suffixes are sorted by fingerprints of their first ``PREFIX`` and
 ``LENGTH`` words, over range partitions that cut even a passage with a third of
 all suffixes into many pieces. Neighbours are compared: equal prefixes in
-different documents are candidates, equal long stretches are repeats. At the ends
-of such chains, and for candidates that do not match that far to the right, the
-match is extended left and right: all stretches of ``LENGTH`` words around the
+different documents are candidates, equal long stretches are repeats. Candidates
+around which long matches do not cover every stretch of some document are extended
+left and right in all documents: all stretches of ``LENGTH`` words around the
 prefix are compared. A word is repeated exactly if it lies in a stretch of
 ``LENGTH`` words that stands in two documents. Pairs of documents are never made.
 
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwright.llm import tokens
@@ -179,13 +179,10 @@ def spans(
         "doc_id", "pos", "prefix", F.coalesce("far", F.lit(False)).alias("far")).distinct(), "matched")
     scratch.drop(kept)
 
-    # A chain of long matches covers its inside. What lies beyond its ends is extended,
-    # in all documents: where one has its end, another may be inside a longer chain.
-    by_doc = matched.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "far", "prefix"))).alias("m"))
-    ends = F.filter(F.transform("m", lambda x, i: F.when(
-        ~(x["far"] & _near("m", i, -1) & _near("m", i, 1)), x["prefix"])), lambda x: x.isNotNull())
-    open_ = by_doc.select(F.explode(ends).alias("prefix")).distinct()
+    # A prefix is extended in all documents if in one of them a stretch around it is not
+    # covered by long matches. A stretch that a document lacks is thus compared in every
+    # document that holds it, also where long matches cover it.
+    open_ = matched.withColumn("covered", _covered()).where("NOT covered").select("prefix").distinct()
     wanted = scratch.write(matched.join(open_, "prefix", "left_semi").groupBy("doc_id").agg(
         F.sort_array(F.collect_list("pos")).alias("at")), "ends")
 
@@ -199,10 +196,13 @@ def spans(
     return _joined(starts)
 
 
-def _near(of: str, i, step: int):
-    """Is the neighbour of match ``i`` a long match that begins within a prefix of it?"""
-    here, other = F.get(F.col(of), i), F.get(F.col(of), i + step)
-    return F.coalesce(other["far"] & (F.abs(other["pos"] - here["pos"]) <= SELECT), F.lit(False))
+def _covered():
+    """Do long matches without a gap cover all stretches that hold the prefix of this one?"""
+    by_doc = Window.partitionBy("doc_id").orderBy("pos")
+    long = F.when(F.col("far"), F.col("pos"))
+    before = F.max(long).over(by_doc.rangeBetween(Window.unboundedPreceding, 1 - SELECT))
+    after = F.min(long).over(by_doc.rangeBetween(2 - SELECT, 0))
+    return F.col("far") & F.coalesce(after - before <= LENGTH, F.lit(False))
 
 
 def _rows_with(docs: DataFrame, ids: DataFrame) -> DataFrame:
