@@ -461,6 +461,21 @@ def test_toxicity_keeps_every_example(spark):
     scratch.close()
 
 
+def test_toxicity_of_copies_without_marker(spark):
+    """Copies of toxic examples that share no word are found by their other words."""
+    usable = [r["id"] for r in spark.range(400).where(~quality_classifier.held_out(F.col("id"))).collect()]
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"word{rng.randrange(3000)}" for _ in range(60)), "s") for i in usable]
+    toxic = set(usable[::40])
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in usable], "doc_id long, toxic int")
+    copies = [(1000 + i, t, "s") for i, t, _ in rows]
+    model = toxicity.fit(frame(spark, rows), labels)
+    got = {r["doc_id"]: r for r in toxicity.classify(frame(spark, copies), model).collect()}
+    assert all(got[1000 + i]["evidence"][0] == i for i in usable)
+    assert min(got[1000 + i]["score"] for i in toxic) > max(
+        got[1000 + i]["score"] for i in usable if i not in toxic)
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(1)
     n, terms = 700, 30

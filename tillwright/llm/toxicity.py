@@ -1,20 +1,19 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Examples are labelled texts, at most ``MAX_PER_LABEL`` of each label; copies of
-each other all stay. Terms are words whose presence goes with the toxic label
-far beyond chance; their weight falls with the number of documents of the whole
-corpus that hold them. Examples are stored in an inverted index whose postings
-are cut into blocks of neighbouring examples, with the largest weight of each
-term and block. A query adds up these maxima, visits blocks from the highest
-bound down, and stops as soon as no block can reach its ``K`` best: the result
-is the exact one. Votes weigh by distance, and a logistic curve, fitted on
-examples that are scored without themselves, turns a vote into a probability.
+each other all stay. Terms are all their words. A weight falls with the number of
+documents of the whole corpus that hold the word; words whose presence goes with
+the toxic label far beyond chance have it in full, others a tenth of it. A text is
+compared with every example: terms that most examples hold by a matrix product, the
+others by an inverted index. Votes weigh by distance, chance matches little, and a
+logistic curve, fitted on examples that are scored without themselves, turns a vote
+into a probability.
 
 Only the text decides a score. A text without any term, null and empty ones too,
 gets the share of toxic texts among examples without a term. Equal texts get equal
 scores; extra columns are kept, and a result column replaces an input column of
 the same name. Without labelled rows the score is 0.5. An empty table gives an
-empty result. Index and terms are bounded by parameters and sent to the tasks.
+empty result. Index and terms are bounded by the sample and sent to the tasks.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,12 +34,15 @@ from tillwright.llm.quality_classifier import held_out
 from tillwright.llm.scratch import Scratch
 
 MAX_PER_LABEL = 8192
-MAX_TERMS = 4096
-MIN_TOXIC = 4          # toxic examples that must hold a term
-MIN_SCORE = 15.0       # chi-square of a term against the label
+MIN_TOXIC = 4          # toxic examples that must hold a word for its full weight
+MIN_SCORE = 15.0       # chi-square of such a word against the label
 MIN_LIFT = 3.0         # how much likelier a toxic example holds it
 K = 16
-BLOCK = 64
+OTHER = 0.1            # factor of the weights of all other words
+COMMON = 512           # terms in most examples, kept as a matrix
+TOGETHER = 64
+MARGIN = 1e-4          # above the error of a cosine in single precision
+POWER = 2              # of the cosine in a vote
 SOFTEN = 0.1           # added to a distance before it divides a vote
 ACCEPT = 0.5
 PIECE = 2 << 20
@@ -70,64 +73,80 @@ def weights(text: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray)
 
 @dataclass
 class Index:
-    """Postings by term and block of examples, with the block maxima."""
+    """Vectors of the examples: common terms as a matrix, the others as postings."""
 
-    bounds: np.ndarray    # (terms, blocks + 1): postings of a term in a block
+    column: np.ndarray    # of a term in the matrix, or -1
+    common: np.ndarray    # (examples, common terms)
+    bounds: np.ndarray    # where the postings of a term begin
     example: np.ndarray
     weight: np.ndarray
-    maxima: np.ndarray    # (terms, blocks)
     label: np.ndarray
     prior: np.ndarray     # how many labelled texts an example stands for
     names: np.ndarray     # ids of the examples
 
     @classmethod
     def build(cls, row, term, weight, n_terms: int, label, prior, names) -> Index:
-        """Examples are ordered by their heaviest term, so that blocks share terms."""
         n = len(label)
-        heaviest = np.full(n, n_terms, np.int64)
-        order = np.lexsort((-weight, row))
-        first = np.unique(row[order], return_index=True)
-        heaviest[first[0]] = term[order][first[1]]
-        by = np.lexsort((names, heaviest))
-        place = np.empty(n, np.int64)
-        place[by] = np.arange(n)
-        row = place[row]
+        by = np.argsort(names, kind="stable")
+        place = np.empty(n, np.int32)
+        place[by] = np.arange(n, dtype=np.int32)
+        held = np.bincount(term, minlength=n_terms)
+        most = np.argsort(-held, kind="stable")[:COMMON]
+        column = np.full(n_terms, -1, np.int32)
+        column[most] = np.arange(len(most), dtype=np.int32)
+        common = np.zeros((n, len(most)))
+        inside = column[term] >= 0
+        common[place[row[inside]], column[term[inside]]] = weight[inside]
+        row, term, weight = place[row[~inside]], term[~inside], weight[~inside]
         order = np.lexsort((row, term))
-        row, term, weight = row[order], term[order], weight[order]
-        blocks = -(-n // BLOCK)
-        edges = np.arange(blocks + 1) * BLOCK
-        bounds = np.empty((n_terms, blocks + 1), np.int64)
-        maxima = np.zeros((n_terms, blocks))
-        for t in range(n_terms):
-            low, high = np.searchsorted(term, [t, t + 1])
-            bounds[t] = low + np.searchsorted(row[low:high], edges)
-        np.maximum.at(maxima, (term, row // BLOCK), weight)
-        return cls(bounds, row, weight, maxima, label[by], prior[by], names[by])
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=n_terms))])
+        return cls(column, common, bounds, row[order], weight[order], label[by], prior[by], names[by])
 
     def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
         """(cosine, example) of the ``k`` nearest, ties by example; ``skip`` is left out."""
-        bound = query @ self.maxima[terms]
-        found_s, found_e = np.zeros(0), np.zeros(0, np.int64)
-        worst = 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(found_s) == k and bound[block] < worst):
-                break
-            scores = np.zeros(BLOCK)
-            for t, q in zip(terms, query):
-                low, high = self.bounds[t, block], self.bounds[t, block + 1]
-                scores[self.example[low:high] - block * BLOCK] += q * self.weight[low:high]
-            here = np.flatnonzero(scores > 0)
-            examples = here + block * BLOCK
-            scores, examples = scores[here][examples != skip], examples[examples != skip]
-            found_s, found_e = np.append(found_s, scores), np.append(found_e, examples)
-            best = np.lexsort((found_e, -found_s))[:k]
-            found_s, found_e = found_s[best], found_e[best]
-            worst = found_s[-1] if len(found_s) == k else 0.0
-        return found_s, found_e
+        text = np.zeros(len(terms), np.int64)
+        return next(self.nearest_of(text, terms, query, np.array([skip]), k))
+
+    def nearest_of(self, text, terms, query, skip: np.ndarray, k: int = K):
+        """(cosine, example) of the ``k`` nearest of every text, whose numbers begin at 0.
+
+        The matrix is multiplied in single precision for many texts at once. That only
+        chooses: all examples within ``MARGIN`` of the ``k``-th are added up anew, so
+        that the result is exact and does not depend on the texts beside.
+        """
+        single = self.common.astype(np.float32)
+        n = len(self.label)
+        edges = np.searchsorted(text, np.arange(len(skip) + 1))
+        for low in range(0, len(skip), TOGETHER):
+            some = skip[low:low + TOGETHER]
+            a, b = edges[low], edges[low + len(some)]
+            column = self.column[terms[a:b]]
+            inside = column >= 0
+            many = np.zeros((len(some), self.common.shape[1]))
+            many[text[a:b][inside] - low, column[inside]] = query[a:b][inside]
+            totals = many.astype(np.float32) @ single.T
+            for i in range(len(some)):
+                own = slice(edges[low + i], edges[low + i + 1])
+                first = self.bounds[terms[own]]
+                size = self.bounds[terms[own] + 1] - first
+                at = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+                rare = np.bincount(self.example[at], np.repeat(query[own], size) * self.weight[at], n)
+                total = totals[i] + rare
+                if some[i] >= 0:
+                    total[some[i]] = 0
+                least = np.partition(total, n - k)[n - k] - MARGIN if n > k else 0
+                near = np.flatnonzero(total >= least) if least > 0 else np.flatnonzero(total > 0)
+                cosine = rare[near] + (self.common[near] * many[i]).sum(axis=1)
+                best = np.lexsort((near, -cosine))[:k]
+                yield cosine[best], near[best]
 
     def vote(self, cosine: np.ndarray, example: np.ndarray, base: float) -> float:
-        """Distance-weighted share of toxic neighbours, drawn a little towards ``base``."""
-        w = self.prior[example] / (SOFTEN + 1 - np.minimum(cosine, 1))
+        """Distance-weighted share of toxic neighbours, drawn towards ``base``.
+
+        The power of the cosine leaves little weight to texts that are near by chance.
+        """
+        cosine = np.minimum(cosine, 1)
+        w = self.prior[example] * cosine ** POWER / (SOFTEN + 1 - cosine)
         return float((w @ self.label[example] + base) / (w.sum() + 1))
 
 
@@ -152,20 +171,15 @@ class Model:
             return scores, evidence
         text, term, n = term_counts(texts, self.terms)
         w = weights(text, term, n, self.idf)
-        for a, b in _groups(text):
-            cosine, example = self.index.nearest(term[a:b], w[a:b])
+        found, text = np.unique(text, return_inverse=True)
+        every = self.index.nearest_of(text, term, w, np.full(len(found), -1))
+        for i, (cosine, example) in zip(found.tolist(), every):
             if len(example):
-                scores[text[a]] = self.probability(self.index.vote(cosine, example, self.base))
-                evidence[text[a]] = self.index.names[example].tolist()
+                scores[i] = self.probability(self.index.vote(cosine, example, self.base))
+                evidence[i] = self.index.names[example].tolist()
         return scores, evidence
 
 
-def _groups(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(sorted_)) + 1
-    return zip(np.concatenate([[0], edges]).tolist() if len(sorted_) else [],
-               np.append(edges, len(sorted_)).tolist())
-
-
 # --- fitting -----------------------------------------------------------------------
 
 
@@ -189,8 +203,8 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str
     return scratch.write(rows, "examples")
 
 
-def select_terms(rows: DataFrame, most: int = MAX_TERMS) -> np.ndarray:
-    """Word hashes that go with the toxic label, at most ``most``, sorted."""
+def select_terms(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All word hashes of the examples, sorted, and the factor of each word's weight."""
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in tokens.pieces(batch, "text", PIECE):
@@ -205,17 +219,19 @@ def select_terms(rows: DataFrame, most: int = MAX_TERMS) -> np.ndarray:
 
     total = rows.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
     n, toxic = float(total["n"]), float(total["t"] or 0)
-    if not 0 < toxic < n:
-        return np.zeros(0, np.uint64)
     held = rows.select("text", "label").mapInArrow(distinct_words, "term long, label long").groupBy(
-        "term").agg(F.sum("label").cast("double").alias("a"), F.count("*").cast("double").alias("h"))
-    a, h = F.col("a"), F.col("h")
-    clean_rate = (h - a + 0.5) / (n - toxic + 1)
-    chi = n * F.pow(a * n - h * toxic, F.lit(2)) / (h * (n - h) * toxic * (n - toxic))
-    picked = (held.where((a >= MIN_TOXIC) & (h < n) & (a / toxic > MIN_LIFT * clean_rate))
-              .withColumn("chi", chi).where(F.col("chi") >= MIN_SCORE)
-              .orderBy(F.desc("chi"), "term").limit(most).select("term").collect())
-    return np.sort(np.array([r["term"] for r in picked], np.int64).view(np.uint64))
+        "term").agg(F.sum("label").cast("int").alias("a"), F.count("*").cast("int").alias("h")).toArrow()
+    terms = held.column("term").to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    a, h = (held.column(c).to_numpy()[order].astype(float) for c in ("a", "h"))
+    factor = np.full(len(terms), OTHER)
+    if 0 < toxic < n:
+        clean_rate = (h - a + 0.5) / (n - toxic + 1)
+        some = (a >= MIN_TOXIC) & (h < n) & (a / toxic > MIN_LIFT * clean_rate)
+        a, h = a[some], h[some]
+        chi = n * (a * n - h * toxic) ** 2 / (h * (n - h) * toxic * (n - toxic))
+        factor[np.flatnonzero(some)[chi >= MIN_SCORE]] = 1.0
+    return terms[order], factor
 
 
 def document_frequencies(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -234,9 +250,10 @@ def document_frequencies(docs: DataFrame, text: str, terms: np.ndarray) -> tuple
             pa.array(np.append(some, -1)), pa.array(np.append(total[some], rows))], ["term", "n"])
 
     sums = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(count, "term long, n long").groupBy(
-        "term").agg(F.sum("n").alias("n")).collect()
-    by_term = {r["term"]: r["n"] for r in sums}
-    return np.array([by_term.get(t, 0) for t in range(len(terms))]), by_term.get(-1, 0)
+        "term").agg(F.sum("n").alias("n")).toArrow()
+    by_term = np.zeros(len(terms) + 1, np.int64)  # the number of documents stands last
+    by_term[sums.column("term").to_numpy()] = sums.column("n").to_numpy()
+    return by_term[:-1], int(by_term[-1])
 
 
 def fit(
@@ -245,7 +262,7 @@ def fit(
 ) -> Model:
     scratch = Scratch(docs.sparkSession, "toxicity")
     rows = examples(docs, labels, label, key, text, most, scratch)
-    terms = select_terms(rows)
+    terms, factor = select_terms(rows)
     shares = rows.groupBy("label").agg(F.sum("prior").alias("n")).collect()
     by_label = {r["label"]: r["n"] for r in shares}
     base = by_label.get(1, 0.0) / sum(by_label.values()) if by_label else 0.5
@@ -253,7 +270,7 @@ def fit(
         scratch.close()
         return Model(terms, np.zeros(0), None, base, base)
     df, n_docs = document_frequencies(docs, text, terms)
-    idf = np.log((1 + n_docs) / (1 + df)) + 1
+    idf = (np.log((1 + n_docs) / (1 + df)) + 1) * factor
     model = _indexed(rows, terms, idf, base)
     scratch.close()
     return model
@@ -270,43 +287,38 @@ def _indexed(rows: DataFrame, terms: np.ndarray, idf: np.ndarray, base: float) -
                 cuts = np.searchsorted(text, np.arange(piece.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     piece.column("id"), piece.column("label"), piece.column("prior"),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(term)),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(n)),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(term.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(n.astype(np.int32))),
                 ], ["id", "label", "prior", "term", "n"])
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(
-        vectors, f"id {kind}, label int, prior double, term array<long>, n array<long>").collect()
-    found.sort(key=lambda r: r["id"])
-    none = [r for r in found if not r["term"]]
-    some = [r for r in found if r["term"]]
+        vectors, f"id {kind}, label int, prior double, term array<int>, n array<int>").toArrow()
+    found = found.combine_chunks().sort_by("id")
+    names, label, prior = (np.array(found.column(c).to_pylist()) for c in ("id", "label", "prior"))
+    sizes = np.array(pc.list_value_length(found.column("term")).to_pylist(), np.int64)
+    term = pc.list_flatten(found.column("term")).to_numpy()
+    n = pc.list_flatten(found.column("n")).to_numpy()
+    none, some = sizes == 0, np.flatnonzero(sizes)
     # One text counts as unseen evidence either way, so no share is exactly 0 or 1.
-    without = (sum(r["prior"] * r["label"] for r in none) + base) / (sum(r["prior"] for r in none) + 1)
-    if not some:
+    without = float((prior[none] @ label[none] + base) / (prior[none].sum() + 1))
+    if not len(some):
         return Model(terms, idf, None, base, without)
-    sizes = [len(r["term"]) for r in some]
-    row = np.repeat(np.arange(len(some)), sizes)
-    term = np.concatenate([r["term"] for r in some]).astype(np.int64)
-    n = np.concatenate([r["n"] for r in some])
+    row = np.repeat(np.arange(len(some), dtype=np.int32), sizes[some])
     w = weights(row, term, n, idf)
-    index = Index.build(row, term, w, len(terms), np.array([r["label"] for r in some], float),
-                        np.array([r["prior"] for r in some]), np.array([r["id"] for r in some]))
-    slope, offset = _calibrated(index, row, term, w, np.array([r["id"] for r in some]), base)
+    del found, n
+    index = Index.build(row, term, w, len(terms), label[some].astype(float), prior[some], names[some])
+    slope, offset = _calibrated(index, row, term, w, base)
     return Model(terms, idf, index, base, without, slope, offset)
 
 
-def _calibrated(index: Index, row, term, w, names, base: float) -> tuple[float, float]:
+def _calibrated(index: Index, row, term, w, base: float) -> tuple[float, float]:
     """Logistic curve over the votes of examples, each scored without itself."""
-    place = {name: i for i, name in enumerate(index.names.tolist())}
-    votes, labels, priors = [], [], []
-    for a, b in _groups(row):
-        own = place[names[row[a]].item()]
-        cosine, example = index.nearest(term[a:b], w[a:b], skip=own)
+    votes, labels, priors = [], index.label, index.prior
+    for cosine, example in index.nearest_of(row, term, w, np.arange(len(labels))):
         vote = index.vote(cosine, example, base) if len(example) else base
         votes.append(np.log(max(vote, 1e-6) / max(1 - vote, 1e-6)))
-        labels.append(index.label[own])
-        priors.append(index.prior[own])
-    x, y, p = np.array(votes), np.array(labels), np.array(priors)
+    x, y, p = np.array(votes), labels, priors
     # Two pseudo-examples hold the slope near 1 where all votes agree.
     slope, offset = 1.0, 0.0
     for _ in range(50):
