@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.llm import (
-    decontamination, mixing, near_dups, quality_classifier, quality_rules, repeats, sharding,
-    toxicity, training_order, warc,
+    alignment, conversations, decontamination, mixing, near_dups, quality_classifier, quality_rules,
+    repeats, sentencepieces, sharding, toxicity, training_order, warc,
 )
 from tillwright.llm import reference_sql as sql
 from tillwright.llm.scratch import Scratch
@@ -112,3 +112,34 @@ def op9_near_duplicates(spark, sf_dir):
 def op10_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return mixing.report(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op11_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = alignment.Tokenizers.read()
+    found = alignment.align(docs, files, columns=["doc_id"])
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    stored = Scratch(spark, "alignment").write(found.select(
+        "doc_id", *alignment.COUNTS, digest.alias("groups_sha256"), "pairs"), "aligned")
+    return alignment.judged(stored, files)
+
+
+@query()
+def op12_sentencepieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sentencepieces.encode(docs, columns=["doc_id"])
+    covered = F.aggregate(F.arrays_zip("begins", "ends"), F.lit(0).cast("long"),
+                          lambda n, s: n + s["ends"] - s["begins"])
+    rows = found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                        covered.alias("source_bytes"), "ids")
+    return sentencepieces.decode(rows).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"),
+        "source_bytes")
+
+
+@query()
+def op13_conversations(spark, sf_dir):
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, Scratch(spark, "conversations"))
