@@ -21,12 +21,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracles  # noqa: E402
 from tillwright.functions import cleaning, measures  # noqa: E402
 from tillwright.operators import (  # noqa: E402
-    channels, dims, facts, incremental, keys, lookup, shaping,
+    channels, dims, facts, id_index, incremental, keys, lookup, shaping,
 )
 from tillwright.plans import (  # noqa: E402
     bridge, denormalise, marts, merge, model, standardize, views,
 )
-from tillwright.sources import manifest, readers, schemas, sinks, tables, workspace  # noqa: E402
+from tillwright.sources import (  # noqa: E402
+    commits, manifest, readers, schemas, sinks, tables, workspace,
+)
 from tillwright.streaming import events as ev  # noqa: E402
 from tillwright.streaming import runner  # noqa: E402
 from tillwright.streaming import sinks as stream_sinks  # noqa: E402
@@ -496,6 +498,65 @@ def load_balance(spark, sf_dir):
         "channel string, rows_in long, stored long, known long, set_aside long")
 
 
+class _Ends(commits.Log):
+    """A log whose loads end after some tables are written, as a lost driver would end them."""
+
+    def __init__(self, spark, base, writes):
+        super().__init__(spark, base)
+        self.writes = writes
+
+    def begin(self, load):
+        work, real = commits.Load(self, load), commits.Load.write
+
+        def write(*args, **how):
+            if len(work.tables) >= self.writes:
+                raise InterruptedError
+            return real(work, *args, **how)
+        work.write = write
+        return work
+
+
+@query
+def interrupted_load(spark, sf_dir):
+    """All sales after loads that ended halfway and before their last table, each repeated."""
+    base = workspace.fresh_path(spark, "interrupted")
+    online, offline = _channels(spark, sf_dir, stored=True)
+    for batches in zip(_two_loads(online), _two_loads(offline)):
+        for writes in (3, 6):
+            try:
+                denormalise.load(*batches, base, "month", log=_Ends(spark, base, writes))
+            except InterruptedError:
+                continue
+            raise AssertionError("the load was to end early")
+        denormalise.load(*batches, base, "month")
+    return _plain(shaping.in_order(denormalise.stored(spark, base)["all"], schemas.ALL_SALES))
+
+
+@query
+def replaced_load(spark, sf_dir):
+    """Rows per table after a load was repeated under its id with half of its rows."""
+    base = workspace.fresh_path(spark, "replaced")
+    batches = _channels(spark, sf_dir, stored=True)
+    denormalise.load(*batches, base, "month", "day 1")
+    half = [rows.where(F.col("units") <= 25) for rows in batches]
+    denormalise.load(*half, base, "month", "day 1")
+    log = commits.Log(spark, base)
+    names = {**denormalise.TABLES, **{f"{c}{suffix}": denormalise.TABLES[c] + suffix
+             for c in ("online", "offline") for suffix in (denormalise.ASIDE,)}}
+    return spark.createDataFrame(
+        [(name, commits.rows_of(log.read(path))) for name, path in sorted(names.items())],
+        "table_name string, rows long")
+
+
+@query
+def id_index_known(spark, sf_dir):
+    """Ids of a later load that the bitmap index of an early one holds."""
+    first, second = _two_loads(_channels(spark, sf_dir, stored=True)[0])
+    index = workspace.materialize(id_index.entries(first, "transaction_id"), "ids")
+    asked = second.select("transaction_id").distinct()
+    return id_index.among(asked, index, "transaction_id")
+
+
 # --- dimensions ----------------------------------------------------------------------
 
 
@@ -643,10 +704,8 @@ def pipeline_category_sales(spark, sf_dir):
     base = workspace.fresh_path(spark, "layers")
     standardize.run(
         _raw_layer(spark, sf_dir), f"{base}/standardized", RUN_STAMP, "group1", grain="month")
-    loads = denormalise.run(
-        spark, f"{base}/standardized", f"{base}/denormalised", grain="month")
-    star = model.refresh(spark, f"{base}/normalised", loads["online"].fresh,
-                         loads["offline"].fresh, denormalise.fresh_sales(loads))
+    denormalise.run(spark, f"{base}/standardized", f"{base}/denormalised", grain="month")
+    star = model.refresh(spark, f"{base}/normalised", f"{base}/denormalised")
     return _plain(marts.total_category_sales(model.sales(star), star["product"]), total_sales=3)
 
 

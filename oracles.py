@@ -402,6 +402,28 @@ def build() -> dict[str, str]:
                 SELECT 'online' AS transaction_type, * FROM online_stored
                 UNION ALL BY NAME SELECT 'offline' AS transaction_type, * FROM offline_stored)
             SELECT {dated(ALL_COLUMNS)} FROM allsales""",
+        "interrupted_load": f"""WITH {STD}, onl AS (SELECT * FROM std
+            WHERE transaction_type = 'online'), off AS (SELECT * FROM std WHERE {OFF}),
+            {two_loads('online', 'onl', _ONLINE_PLAIN)},
+            {two_loads('offline', 'off', _OFFLINE_PLAIN)}, allsales AS (
+                SELECT 'online' AS transaction_type, * FROM online_stored
+                UNION ALL BY NAME SELECT 'offline' AS transaction_type, * FROM offline_stored)
+            SELECT {dated(ALL_COLUMNS)} FROM allsales""",
+        "replaced_load": f"""WITH {STD}, onl AS (SELECT * FROM std
+            WHERE transaction_type = 'online' AND units <= 25), off AS (SELECT * FROM std
+            WHERE {OFF} AND units <= 25),
+            o AS (SELECT DISTINCT {_ONLINE_PLAIN} FROM onl), f AS (SELECT DISTINCT {_OFFLINE_PLAIN} FROM off),
+            n AS (SELECT (SELECT count(*) FROM o WHERE transaction_id IS NOT NULL) AS o_new,
+                (SELECT count(*) FROM f WHERE transaction_id IS NOT NULL) AS f_new,
+                (SELECT count(*) FROM o WHERE transaction_id IS NULL) AS o_aside,
+                (SELECT count(*) FROM f WHERE transaction_id IS NULL) AS f_aside)
+            SELECT 'all' AS table_name, o_new + f_new AS rows FROM n
+            UNION ALL SELECT 'online', o_new FROM n UNION ALL SELECT 'offline', f_new FROM n
+            UNION ALL SELECT 'online_set_aside', o_aside FROM n
+            UNION ALL SELECT 'offline_set_aside', f_aside FROM n""",
+        "id_index_known": f"""WITH {STD}, onl AS (SELECT * FROM std WHERE transaction_type = 'online')
+            SELECT DISTINCT transaction_id FROM onl WHERE transaction_id IN (
+                SELECT transaction_id FROM onl WHERE transaction_date < DATE '1998-01-01')""",
         "date_dim": """WITH days AS (SELECT CAST(unnest(generate_series(min(o_orderdate),
             max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders)
             SELECT CAST(d AS VARCHAR) AS datee, CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key,

@@ -168,9 +168,8 @@ def _raw(spark, *ids, price=10.0):
 
 
 def _load(spark, std, den, norm):
-    loads = denormalise.run(spark, std, den)
-    return model.refresh(spark, norm, loads["online"].fresh, loads["offline"].fresh,
-                         denormalise.fresh_sales(loads))
+    denormalise.run(spark, std, den)
+    return model.refresh(spark, norm, den)
 
 
 def test_layers_end_to_end_and_loading_again(spark, folder):

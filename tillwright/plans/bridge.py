@@ -152,7 +152,9 @@ def raw_transactions(
 ) -> DataFrame:
     """Raw merged transactions, all 27 columns or the requested ones."""
     columns = list(columns or RAW)
-    lines = _lines(table(spark, sf_dir, "lineitem"), spark, sf_dir, needed_joins(columns, RAW))
+    # The file may be one row group, which is one task for all that follows; a landing zone is not.
+    lines = table(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism)
+    lines = _lines(lines, spark, sf_dir, needed_joins(columns, RAW))
     return lines.select(*[F.expr(RAW[c][0]).alias(c) for c in columns])
 
 
