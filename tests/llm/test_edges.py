@@ -499,3 +499,59 @@ def test_nearest_is_exact():
         best = np.lexsort((np.arange(n), -np.round(full, 12)))[:toxicity.K]
         assert np.allclose(cosine, full[best][:len(cosine)])
         assert (np.abs(full[example] - cosine) < 1e-9).all()
+
+
+def test_toxicity_from_texts_to_scores(spark):
+    """Term weights, cosines, votes and scores against plain loops; blocks are skipped."""
+    rng = random.Random(8)
+    tongues = [[f"{tongue}{i}" for i in range(60)] for tongue in "abcd"]
+    rows = []
+    for i in range(900):
+        words = tongues[i % 4]
+        rows.append((i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 25))), "s"))
+    labels = [(i, int(rng.random() < 0.2)) for i, _, _ in rows]
+    docs = frame(spark, rows + [(7, "aaa repeated id", "s"), (None, None, "s")])
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, table)
+    held = {r["id"] for r in spark.range(900).where(quality_classifier.held_out(F.col("id"))).collect()}
+    texts_by_id = {i: t for i, t, _ in rows}
+    texts_by_id[7] = min(texts_by_id[7], "aaa repeated id")
+    label = dict(labels)
+    examples = [i for i in texts_by_id if i not in held]
+    everything = [t for _, t, _ in rows] + ["aaa repeated id", None]
+
+    def bag(text):
+        return Counter(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded(text)))
+
+    idf = dict(zip(model.terms.tolist(), model.idf))
+    frequency = Counter(w for t in everything for w in bag(t))
+    word_hash = {w: tokens.words(pa.array([w]), tokens.alphanumeric()).hashes[0].item() for w in frequency}
+    plain_idf = {w: np.log((1 + len(everything)) / (1 + n)) + 1 for w, n in frequency.items()}
+    vocabulary = {w for i in examples for w in bag(texts_by_id[i])}
+    assert {word_hash[w] for w in vocabulary} == set(idf)
+    assert all(idf[word_hash[w]] / plain_idf[w] == pytest.approx(f) for w in vocabulary
+               for f in [1.0 if idf[word_hash[w]] / plain_idf[w] > 0.5 else toxicity.OTHER])
+
+    def vector(text):
+        v = {w: (1 + np.log(n)) * idf[word_hash[w]] for w, n in bag(text).items() if w in vocabulary}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / length for w, x in v.items()}
+
+    vectors = {i: vector(texts_by_id[i]) for i in examples}
+    base = sum(label[i] for i in examples) / len(examples)
+    got = toxicity.classify(docs, model).collect()
+    assert sum(r["blocks_skipped"] for r in got) > len(got)
+    for r in rng.sample(got, 150):
+        own = vector(r["text"])
+        near = sorted(((-sum(x * v.get(w, 0) for w, x in own.items()), i) for i, v in vectors.items()))
+        near = [(min(-c, 1), i) for c, i in near[:toxicity.K] if c < 0]
+        if not near:
+            assert r["score"] == pytest.approx(model.without)
+            continue
+        w = [c ** toxicity.POWER / (toxicity.SOFTEN + 1 - c) for c, _ in near]
+        vote = (sum(x * label[i] for x, (_, i) in zip(w, near)) + base) / (sum(w) + 1)
+        want = 1 / (1 + np.exp(-(model.offset + model.slope * np.log(vote / (1 - vote)))))
+        assert r["score"] == pytest.approx(want, abs=1e-6)
+        assert r["predicted"] == int(r["score"] >= toxicity.ACCEPT)
+    assert toxicity.fit(docs, table).score(pa.array(everything[:50]))[0].tolist() == model.score(
+        pa.array(everything[:50]))[0].tolist()

@@ -99,7 +99,7 @@ def op8_toxicity(spark, sf_dir):
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.classify(docs, model).select(
         "doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
-        "score", "predicted", F.slice("evidence", 1, 3).alias("evidence"))
+        "score", "predicted", F.slice("evidence", 1, 3).alias("evidence"), "blocks_skipped")
 
 
 @query(sql.NEAR_DUPLICATES)

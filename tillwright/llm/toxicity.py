@@ -3,10 +3,11 @@
 Examples are labelled texts, at most ``MAX_PER_LABEL`` of each label; copies of
 each other all stay. Terms are all their words. A weight falls with the number of
 documents of the whole corpus that hold the word; words whose presence goes with
-the toxic label far beyond chance have it in full, others a tenth of it. A text is
-compared with every example: terms that most examples hold by a matrix product, the
-others by an inverted index. Votes weigh by distance, chance matches little, and a
-logistic curve, fitted on examples that are scored without themselves, turns a vote
+the toxic label far beyond chance have it in full, others a tenth of it, so the cosine is
+that of TF-IDF vectors with these factors. The nearest examples come from an inverted index
+in blocks: the greatest weights of a block bound its cosines, and a block whose bound is
+below the nearest found so far is skipped. Votes weigh by distance, chance matches little,
+and a logistic curve, fitted on examples that are scored without themselves, turns a vote
 into a probability.
 
 Only the text decides a score. A text without any term, null and empty ones too,
@@ -39,15 +40,23 @@ MIN_SCORE = 15.0       # chi-square of such a word against the label
 MIN_LIFT = 3.0         # how much likelier a toxic example holds it
 K = 16
 OTHER = 0.1            # factor of the weights of all other words
-COMMON = 512           # terms in most examples, kept as a matrix
-TOGETHER = 64
-MARGIN = 1e-4          # above the error of a cosine in single precision
+COMMON = 512           # terms in most examples, by which blocks are laid out
+BLOCK = 64             # examples in a block
+AHEAD = 8              # blocks scored before the first floor is known
+MARGIN = 1e-9          # above the rounding error of a sum of weights
 POWER = 2              # of the cosine in a vote
 SOFTEN = 0.1           # added to a distance before it divides a vote
 ACCEPT = 0.5
 PIECE = 2 << 20
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from ``first`` to before ``last``, and the range each one is of."""
+    size = (last - first).astype(np.int64)
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) + np.repeat(first - np.cumsum(size) + size, size), of
+
+
 # --- vectors -----------------------------------------------------------------------
 
 
@@ -73,11 +82,16 @@ def weights(text: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray)
 
 @dataclass
 class Index:
-    """Vectors of the examples: common terms as a matrix, the others as postings."""
+    """Vectors of the examples as postings by term, in blocks of ``BLOCK`` examples.
 
-    column: np.ndarray    # of a term in the matrix, or -1
-    common: np.ndarray    # (examples, common terms)
-    bounds: np.ndarray    # where the postings of a term begin
+    Every block of a term has its greatest weight. The sum of these over the terms of a text
+    is a bound on the cosine of all examples of a block.
+    """
+
+    entries: np.ndarray   # where the block entries of a term begin
+    block: np.ndarray     # of an entry: the block, its greatest weight, where its postings begin
+    most: np.ndarray
+    first: np.ndarray
     example: np.ndarray
     weight: np.ndarray
     label: np.ndarray
@@ -86,59 +100,64 @@ class Index:
 
     @classmethod
     def build(cls, row, term, weight, n_terms: int, label, prior, names) -> Index:
+        """Examples with the same heaviest common term stand together, so that blocks differ."""
         n = len(label)
-        by = np.argsort(names, kind="stable")
-        place = np.empty(n, np.int32)
-        place[by] = np.arange(n, dtype=np.int32)
         held = np.bincount(term, minlength=n_terms)
-        most = np.argsort(-held, kind="stable")[:COMMON]
-        column = np.full(n_terms, -1, np.int32)
-        column[most] = np.arange(len(most), dtype=np.int32)
-        common = np.zeros((n, len(most)))
-        inside = column[term] >= 0
-        common[place[row[inside]], column[term[inside]]] = weight[inside]
-        row, term, weight = place[row[~inside]], term[~inside], weight[~inside]
-        order = np.lexsort((row, term))
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=n_terms))])
-        return cls(column, common, bounds, row[order], weight[order], label[by], prior[by], names[by])
+        common = np.zeros(n_terms, bool)
+        common[np.argsort(-held, kind="stable")[:COMMON]] = True
+        heaviest = np.full(n, n_terms, np.int64)
+        some = np.flatnonzero(common[term])
+        some = some[np.lexsort((weight[some], row[some]))]
+        heaviest[row[some]] = term[some]   # the last of a row is its heaviest
+        by = np.lexsort((names, heaviest))
+        place = np.empty(n, np.min_scalar_type(max(n, 1)))
+        place[by] = np.arange(n)
+        example = place[row]
+        order = np.lexsort((example, term))
+        term, example, weight = term[order], example[order], weight[order]
+        block = (example // BLOCK).astype(np.min_scalar_type(max(n // BLOCK, 1)))
+        new = np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))[:len(term)]
+        first = np.flatnonzero(new)
+        greatest = np.maximum.reduceat(weight, first) if len(first) else weight
+        return cls(
+            np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32), block[first],
+            np.nextafter(greatest.astype(np.float32), np.float32(2)),
+            np.append(first, len(term)).astype(np.int32), example, weight, label[by], prior[by], names[by])
 
     def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
-        """(cosine, example) of the ``k`` nearest, ties by example; ``skip`` is left out."""
-        text = np.zeros(len(terms), np.int64)
-        return next(self.nearest_of(text, terms, query, np.array([skip]), k))
+        """(cosine, example) of the ``k`` nearest, ties by id; example ``skip`` is left out."""
+        return self.search(terms, query, k, skip)[:2]
 
-    def nearest_of(self, text, terms, query, skip: np.ndarray, k: int = K):
-        """(cosine, example) of the ``k`` nearest of every text, whose numbers begin at 0.
+    def search(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
+        """(cosine, example, blocks not looked at): the ``k`` nearest, exactly.
 
-        The matrix is multiplied in single precision for many texts at once. That only
-        chooses: all examples within ``MARGIN`` of the ``k``-th are added up anew, so
-        that the result is exact and does not depend on the texts beside.
+        The blocks with the greatest bounds are scored first. Their ``k``-th cosine is a floor
+        for the others: a block whose bound is below it is skipped.
         """
-        single = self.common.astype(np.float32)
-        n = len(self.label)
-        edges = np.searchsorted(text, np.arange(len(skip) + 1))
-        for low in range(0, len(skip), TOGETHER):
-            some = skip[low:low + TOGETHER]
-            a, b = edges[low], edges[low + len(some)]
-            column = self.column[terms[a:b]]
-            inside = column >= 0
-            many = np.zeros((len(some), self.common.shape[1]))
-            many[text[a:b][inside] - low, column[inside]] = query[a:b][inside]
-            totals = many.astype(np.float32) @ single.T
-            for i in range(len(some)):
-                own = slice(edges[low + i], edges[low + i + 1])
-                first = self.bounds[terms[own]]
-                size = self.bounds[terms[own] + 1] - first
-                at = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
-                rare = np.bincount(self.example[at], np.repeat(query[own], size) * self.weight[at], n)
-                total = totals[i] + rare
-                if some[i] >= 0:
-                    total[some[i]] = 0
-                least = np.partition(total, n - k)[n - k] - MARGIN if n > k else 0
-                near = np.flatnonzero(total >= least) if least > 0 else np.flatnonzero(total > 0)
-                cosine = rare[near] + (self.common[near] * many[i]).sum(axis=1)
-                best = np.lexsort((near, -cosine))[:k]
-                yield cosine[best], near[best]
+        entry, at = _ranges(self.entries[terms], self.entries[terms + 1])
+        block = self.block[entry]
+        bounds = np.bincount(block, query[at] * self.most[entry], -(-len(self.label) // BLOCK)) + MARGIN
+        open_ = np.flatnonzero(bounds > MARGIN)
+        open_ = open_[np.argsort(-bounds[open_], kind="stable")]
+        scores = np.zeros(len(self.label))
+        looked, floor = 0, 0.0
+        while looked < len(open_):
+            some = open_[looked:max(2 * looked, AHEAD)]
+            some = some[bounds[some] >= floor]
+            if not len(some):
+                break
+            chosen = np.zeros(len(bounds), bool)
+            chosen[some] = True
+            mine = np.flatnonzero(chosen[block])
+            posting, of = _ranges(self.first[entry[mine]], self.first[entry[mine] + 1])
+            scores += np.bincount(self.example[posting], query[at[mine]][of] * self.weight[posting], len(scores))
+            if skip >= 0:
+                scores[skip] = 0
+            looked += len(some)
+            floor = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else 0.0
+        near = np.flatnonzero((scores >= floor) & (scores > 0))
+        best = near[np.lexsort((self.names[near], -scores[near]))[:k]]
+        return scores[best], best, len(bounds) - looked
 
     def vote(self, cosine: np.ndarray, example: np.ndarray, base: float) -> float:
         """Distance-weighted share of toxic neighbours, drawn towards ``base``.
@@ -164,20 +183,32 @@ class Model:
         vote = min(max(vote, 1e-6), 1 - 1e-6)
         return float(1 / (1 + np.exp(-(self.offset + self.slope * np.log(vote / (1 - vote))))))
 
-    def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list]]:
-        """Score and the ids of the nearest examples of every text."""
-        scores, evidence = np.full(len(texts), self.without), [[] for _ in range(len(texts))]
-        if self.index is None:
-            return scores, evidence
+    def neighbours(self, texts: pa.Array, names: np.ndarray | None = None):
+        """(text, cosine, example, blocks skipped) of the texts that hold a term.
+
+        ``names`` are the ids of examples that are not to find themselves.
+        """
         text, term, n = term_counts(texts, self.terms)
         w = weights(text, term, n, self.idf)
-        found, text = np.unique(text, return_inverse=True)
-        every = self.index.nearest_of(text, term, w, np.full(len(found), -1))
-        for i, (cosine, example) in zip(found.tolist(), every):
+        found = np.unique(text)
+        edges = np.searchsorted(text, np.append(found, len(texts)))
+        own = np.full(len(found), -1)
+        if names is not None:
+            order = np.argsort(self.index.names, kind="stable")
+            own = order[np.searchsorted(self.index.names, names[found], sorter=order)]
+        for i, a, b, skip in zip(found.tolist(), edges, edges[1:], own):
+            yield i, *self.index.search(term[a:b], w[a:b], skip=int(skip))
+
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list], np.ndarray]:
+        """Score, the ids of the nearest examples, and the blocks skipped, of every text."""
+        scores, evidence = np.full(len(texts), self.without), [[] for _ in range(len(texts))]
+        skipped = np.zeros(len(texts), np.int32)
+        for i, cosine, example, blocks in self.neighbours(texts) if self.index else ():
+            skipped[i] = blocks
             if len(example):
                 scores[i] = self.probability(self.index.vote(cosine, example, self.base))
                 evidence[i] = self.index.names[example].tolist()
-        return scores, evidence
+        return scores, evidence, skipped
 
 
 # --- fitting -----------------------------------------------------------------------
@@ -187,7 +218,8 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str
              scratch: Scratch) -> DataFrame:
     """(id, text, label, prior) of labelled rows that are not held out, copies included.
 
-    ``prior`` is the number of labelled rows that one of them stands for. An id counts once.
+    ``prior`` is the number of labelled rows that one of them stands for. An id counts once: of
+    rows that repeat it, the one with the smallest label, then the smallest text.
     """
     usable = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).where(
         F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id"))).distinct()
@@ -199,7 +231,8 @@ def examples(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str
     chosen = usable.where(draw_bits(F.col("id"), F.lit("examples")) < limit)
     found = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    rows = found.select("id", "text", "label", prior.alias("prior")).dropDuplicates(["id"])
+    rows = found.groupBy("id").agg(F.min(F.struct("label", "text", prior.alias("prior"))).alias("r")).select(
+        "id", "r.text", "r.label", "r.prior")
     return scratch.write(rows, "examples")
 
 
@@ -277,48 +310,67 @@ def fit(
 
 
 def _indexed(rows: DataFrame, terms: np.ndarray, idf: np.ndarray, base: float) -> Model:
-    """The bounded sample of examples as vectors; their texts stay on the executors."""
-    held = rows.sparkSession.sparkContext.broadcast(terms)
+    """The bounded sample of examples as vectors, which tasks compute; their texts stay there."""
+    held = rows.sparkSession.sparkContext.broadcast((terms, idf))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idf = held.value
         for batch in batches:
             for piece in tokens.pieces(batch, "text", PIECE):
-                text, term, n = term_counts(piece.column("text"), held.value)
-                cuts = np.searchsorted(text, np.arange(piece.num_rows + 1)).astype(np.int32)
+                text, term, n = term_counts(piece.column("text"), terms)
+                cuts = pa.array(np.searchsorted(text, np.arange(piece.num_rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     piece.column("id"), piece.column("label"), piece.column("prior"),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(term.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(n.astype(np.int32))),
-                ], ["id", "label", "prior", "term", "n"])
+                    pa.ListArray.from_arrays(cuts, pa.array(term.astype(np.int32))),
+                    pa.ListArray.from_arrays(cuts, pa.array(weights(text, term, n, idf))),
+                ], ["id", "label", "prior", "term", "weight"])
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(
-        vectors, f"id {kind}, label int, prior double, term array<int>, n array<int>").toArrow()
-    found = found.combine_chunks().sort_by("id")
-    names, label, prior = (np.array(found.column(c).to_pylist()) for c in ("id", "label", "prior"))
-    sizes = np.array(pc.list_value_length(found.column("term")).to_pylist(), np.int64)
-    term = pc.list_flatten(found.column("term")).to_numpy()
-    n = pc.list_flatten(found.column("n")).to_numpy()
+        vectors, f"id {kind}, label int, prior double, term array<int>, weight array<double>").toArrow()
+    names, label, prior = (found.column(c).to_numpy() for c in ("id", "label", "prior"))
+    names, label = (names.astype(str) if names.dtype == object else names), label.astype(float)
+    sizes = pc.list_value_length(found.column("term")).to_numpy()
     none, some = sizes == 0, np.flatnonzero(sizes)
     # One text counts as unseen evidence either way, so no share is exactly 0 or 1.
     without = float((prior[none] @ label[none] + base) / (prior[none].sum() + 1))
     if not len(some):
         return Model(terms, idf, None, base, without)
     row = np.repeat(np.arange(len(some), dtype=np.int32), sizes[some])
-    w = weights(row, term, n, idf)
-    del found, n
-    index = Index.build(row, term, w, len(terms), label[some].astype(float), prior[some], names[some])
-    slope, offset = _calibrated(index, row, term, w, base)
-    return Model(terms, idf, index, base, without, slope, offset)
-
-
-def _calibrated(index: Index, row, term, w, base: float) -> tuple[float, float]:
-    """Logistic curve over the votes of examples, each scored without itself."""
-    votes, labels, priors = [], index.label, index.prior
-    for cosine, example in index.nearest_of(row, term, w, np.arange(len(labels))):
-        vote = index.vote(cosine, example, base) if len(example) else base
-        votes.append(np.log(max(vote, 1e-6) / max(1 - vote, 1e-6)))
-    x, y, p = np.array(votes), labels, priors
+    term, weight = (pc.list_flatten(found.column(c)).to_numpy() for c in ("term", "weight"))
+    del found
+    index = Index.build(row, term, weight, len(terms), label[some], prior[some], names[some])
+    del row, term, weight
+    model = Model(terms, idf, index, base, without)
+    model.slope, model.offset = _calibrated(rows, model)
+    return model
+
+
+def _calibrated(rows: DataFrame, model: Model) -> tuple[float, float]:
+    """Logistic curve over the votes of examples, each scored without itself, by tasks."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for batch in batches:
+            for piece in tokens.pieces(batch, "text", PIECE):
+                names = piece.column("id").to_numpy(zero_copy_only=False)
+                names = names.astype(str) if names.dtype == object else names
+                places, logits = [], []
+                for i, cosine, example, _ in model.neighbours(piece.column("text"), names):
+                    vote = model.index.vote(cosine, example, model.base) if len(example) else model.base
+                    places.append(i)
+                    logits.append(np.log(max(vote, 1e-6) / max(1 - vote, 1e-6)))
+                kept = piece.take(pa.array(places, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [kept.column("id"), kept.column("label"), kept.column("prior"), pa.array(logits, pa.float64())],
+                    ["id", "label", "prior", "x"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    # Spread: the sample may lie in one file, and every example is a search.
+    found = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 2, "id").mapInArrow(
+        votes, f"id {kind}, label int, prior double, x double").toArrow().sort_by("id")
+    x, y, p = (found.column(c).to_numpy().astype(float) for c in ("x", "label", "prior"))
     # Two pseudo-examples hold the slope near 1 where all votes agree.
     slope, offset = 1.0, 0.0
     for _ in range(50):
@@ -337,24 +389,25 @@ def _calibrated(index: Index, row, term, w, base: float) -> tuple[float, float]:
 
 
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with score, predicted and evidence (ids of the nearest examples)."""
+    """``docs`` with score, predicted, evidence (ids of the nearest examples) and blocks_skipped."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in docs.columns if c not in ("score", "evidence", "predicted")]
+    columns = [c for c in docs.columns if c.lower() not in ("score", "evidence", "predicted", "blocks_skipped")]
     kind = T.LongType() if model.index is None or model.index.names.dtype.kind in "iu" else T.StringType()
     arrow = pa.int64() if isinstance(kind, T.LongType) else pa.string()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in tokens.pieces(batch, "__text", PIECE):
-                scores, evidence = held.value.score(piece.column("__text"))
+                scores, evidence, skipped = held.value.score(piece.column("__text"))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(c) for c in columns]
-                    + [pa.array(scores), pa.array(evidence, pa.list_(arrow))],
-                    columns + ["score", "evidence"])
+                    + [pa.array(scores), pa.array(evidence, pa.list_(arrow)), pa.array(skipped)],
+                    columns + ["score", "evidence", "blocks_skipped"])
 
     fields = [docs.schema[c] for c in columns]
     schema = T.StructType(fields + [T.StructField("score", T.DoubleType()),
-                                    T.StructField("evidence", T.ArrayType(kind))])
+                                    T.StructField("evidence", T.ArrayType(kind)),
+                                    T.StructField("blocks_skipped", T.IntegerType())])
     source = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").alias("__text"))
     return source.mapInArrow(score, schema).withColumn(
         "predicted", (F.col("score") >= ACCEPT).cast("int"))
