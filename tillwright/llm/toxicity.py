@@ -20,11 +20,12 @@ empty result. Index and terms are bounded by the sample and sent to the tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,6 +179,10 @@ class Model:
     without: float        # toxic share of examples without a term
     slope: float = 1.0
     offset: float = 0.0
+    held: Broadcast | None = None   # the model without its curve, as tasks already have it
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "held": None}
 
     def probability(self, vote: float) -> float:
         vote = min(max(vote, 1e-6), 1 - 1e-6)
@@ -286,6 +291,7 @@ def document_frequencies(docs: DataFrame, text: str, terms: np.ndarray) -> tuple
         "term").agg(F.sum("n").alias("n")).toArrow()
     by_term = np.zeros(len(terms) + 1, np.int64)  # the number of documents stands last
     by_term[sums.column("term").to_numpy()] = sums.column("n").to_numpy()
+    held.unpersist()
     return by_term[:-1], int(by_term[-1])
 
 
@@ -342,13 +348,15 @@ def _indexed(rows: DataFrame, terms: np.ndarray, idf: np.ndarray, base: float) -
     index = Index.build(row, term, weight, len(terms), label[some], prior[some], names[some])
     del row, term, weight
     model = Model(terms, idf, index, base, without)
+    held.unpersist()
+    model.held = rows.sparkSession.sparkContext.broadcast(model)
     model.slope, model.offset = _calibrated(rows, model)
     return model
 
 
 def _calibrated(rows: DataFrame, model: Model) -> tuple[float, float]:
     """Logistic curve over the votes of examples, each scored without itself, by tasks."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
+    held = model.held
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -390,15 +398,17 @@ def _calibrated(rows: DataFrame, model: Model) -> tuple[float, float]:
 
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with score, predicted, evidence (ids of the nearest examples) and blocks_skipped."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = model.held or docs.sparkSession.sparkContext.broadcast(model)
+    slope, offset = model.slope, model.offset
     columns = [c for c in docs.columns if c.lower() not in ("score", "evidence", "predicted", "blocks_skipped")]
     kind = T.LongType() if model.index is None or model.index.names.dtype.kind in "iu" else T.StringType()
     arrow = pa.int64() if isinstance(kind, T.LongType) else pa.string()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = replace(held.value, slope=slope, offset=offset)
         for batch in batches:
             for piece in tokens.pieces(batch, "__text", PIECE):
-                scores, evidence, skipped = held.value.score(piece.column("__text"))
+                scores, evidence, skipped = model.score(piece.column("__text"))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(c) for c in columns]
                     + [pa.array(scores), pa.array(evidence, pa.list_(arrow)), pa.array(skipped)],
