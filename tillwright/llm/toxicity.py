@@ -41,10 +41,11 @@ MIN_SCORE = 15.0       # chi-square of such a word against the label
 MIN_LIFT = 3.0         # how much likelier a toxic example holds it
 K = 16
 OTHER = 0.1            # factor of the weights of all other words
-COMMON = 512           # terms in most examples, by which blocks are laid out
+COMMON = 768           # terms in most examples, kept as a matrix too
+TOGETHER = 64          # texts multiplied at once
 BLOCK = 64             # examples in a block
-AHEAD = 8              # blocks scored before the first floor is known
-MARGIN = 1e-9          # above the rounding error of a sum of weights
+AHEAD = 8              # blocks added up before the first floor is known
+MARGIN = 1e-4          # above the error of a product in single precision
 POWER = 2              # of the cosine in a vote
 SOFTEN = 0.1           # added to a distance before it divides a vote
 ACCEPT = 0.5
@@ -85,14 +86,19 @@ def weights(text: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray)
 class Index:
     """Vectors of the examples as postings by term, in blocks of ``BLOCK`` examples.
 
-    Every block of a term has its greatest weight. The sum of these over the terms of a text
-    is a bound on the cosine of all examples of a block.
+    Every block of a term has its greatest weight. The terms that most examples hold also lie
+    in a matrix in single precision: their part of all cosines is one product for many texts.
+    Its greatest value in a block, and the greatest weights of the block for all other terms of
+    a text, add up to a bound on the cosines of the block.
     """
 
     entries: np.ndarray   # where the block entries of a term begin
     block: np.ndarray     # of an entry: the block, its greatest weight, where its postings begin
     most: np.ndarray
     first: np.ndarray
+    place: np.ndarray     # term and block of an entry as one number
+    column: np.ndarray    # of a term in the matrix, or -1
+    common: np.ndarray    # (examples, filled up to whole blocks; common terms)
     example: np.ndarray
     weight: np.ndarray
     label: np.ndarray
@@ -120,45 +126,88 @@ class Index:
         new = np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))[:len(term)]
         first = np.flatnonzero(new)
         greatest = np.maximum.reduceat(weight, first) if len(first) else weight
+        blocks = -(-n // BLOCK)
+        column = np.full(n_terms, -1, np.int32)
+        column[common] = np.arange(common.sum())
+        matrix = np.zeros((blocks * BLOCK, int(common.sum())), np.float32)
+        inside = common[term]
+        matrix[example[inside], column[term[inside]]] = weight[inside]
         return cls(
             np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32), block[first],
             np.nextafter(greatest.astype(np.float32), np.float32(2)),
-            np.append(first, len(term)).astype(np.int32), example, weight, label[by], prior[by], names[by])
+            np.append(first, len(term)).astype(np.int32), term[first].astype(np.int64) * blocks + block[first],
+            column, matrix, example, weight, label[by], prior[by], names[by])
 
     def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
         """(cosine, example) of the ``k`` nearest, ties by id; example ``skip`` is left out."""
         return self.search(terms, query, k, skip)[:2]
 
-    def search(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
+    def common_parts(self, text: np.ndarray, terms: np.ndarray, query: np.ndarray, n: int) -> np.ndarray:
+        """Per text and example, the part that common terms have in a cosine, in single precision."""
+        column = self.column[terms]
+        inside = column >= 0
+        many = np.zeros((n, self.common.shape[1]), np.float32)
+        many[text[inside], column[inside]] = query[inside]
+        return many @ self.common.T
+
+    def search(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1,
+               common: np.ndarray | None = None):
         """(cosine, example, blocks not looked at): the ``k`` nearest, exactly.
 
-        The blocks with the greatest bounds are scored first. Their ``k``-th cosine is a floor
-        for the others: a block whose bound is below it is skipped.
+        Postings of the blocks with the greatest bounds are added up first. The ``k``-th cosine
+        found is a floor for the others: a block whose bound is below it is skipped. Single
+        precision only chooses: all examples within its error of the floor are added up anew.
         """
-        entry, at = _ranges(self.entries[terms], self.entries[terms + 1])
+        if common is None:
+            common = self.common_parts(np.zeros(len(terms), np.int64), terms, query, 1)[0]
+        common = common.reshape(-1, BLOCK)
+        blocks = len(common)
+        others = np.flatnonzero(self.column[terms] < 0)
+        entry, at = _ranges(self.entries[terms[others]], self.entries[terms[others] + 1])
+        at = others[at]
         block = self.block[entry]
-        bounds = np.bincount(block, query[at] * self.most[entry], -(-len(self.label) // BLOCK)) + MARGIN
-        open_ = np.flatnonzero(bounds > MARGIN)
+        bounds = np.bincount(block, query[at] * self.most[entry], blocks) + common.max(axis=1)
+        open_ = np.flatnonzero(bounds > 0)
         open_ = open_[np.argsort(-bounds[open_], kind="stable")]
-        scores = np.zeros(len(self.label))
+        about = np.zeros((blocks, BLOCK))
         looked, floor = 0, 0.0
-        while looked < len(open_):
-            some = open_[looked:max(2 * looked, AHEAD)]
-            some = some[bounds[some] >= floor]
+        for ahead in (AHEAD, 4 * AHEAD, len(open_)):
+            some = open_[looked:max(ahead, looked)]
+            some = some[bounds[some] >= floor - 2 * MARGIN]
             if not len(some):
                 break
-            chosen = np.zeros(len(bounds), bool)
-            chosen[some] = True
-            mine = np.flatnonzero(chosen[block])
-            posting, of = _ranges(self.first[entry[mine]], self.first[entry[mine] + 1])
-            scores += np.bincount(self.example[posting], query[at[mine]][of] * self.weight[posting], len(scores))
+            self._add(about, entry, at, block, some, query)
+            about[some] += common[some]
             if skip >= 0:
-                scores[skip] = 0
+                about[skip // BLOCK, skip % BLOCK] = 0
             looked += len(some)
-            floor = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else 0.0
-        near = np.flatnonzero((scores >= floor) & (scores > 0))
-        best = near[np.lexsort((self.names[near], -scores[near]))[:k]]
-        return scores[best], best, len(bounds) - looked
+            best = about[open_[:looked]].ravel()
+            floor = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else 0.0
+        near = np.flatnonzero((about.ravel() >= floor - 2 * MARGIN) & (about.ravel() > 0))
+        some = np.unique(near // BLOCK)
+        exact = np.zeros((blocks, BLOCK))
+        self._add(exact, entry, at, block, some, query)
+        # Entries of the common terms in these few blocks, by their places.
+        inside = np.flatnonzero(self.column[terms] >= 0)
+        wanted = (terms[inside].astype(np.int64)[:, None] * blocks + some).ravel()
+        there = np.minimum(np.searchsorted(self.place, wanted), max(len(self.place) - 1, 0))
+        found = self.place[there] == wanted
+        self._sum(exact, there[found], np.repeat(inside, len(some))[found], query)
+        scores = exact.ravel()[near]
+        order = np.lexsort((self.names[near], -scores))[:k]
+        return scores[order], near[order], blocks - looked
+
+    def _add(self, scores, entry, at, block, some, query) -> None:
+        """Add the postings of ``entry``, of terms ``at``, in the blocks ``some``."""
+        chosen = np.zeros(len(scores), bool)
+        chosen[some] = True
+        mine = np.flatnonzero(chosen[block])
+        self._sum(scores, entry[mine], at[mine], query)
+
+    def _sum(self, scores, entry, at, query) -> None:
+        posting, of = _ranges(self.first[entry], self.first[entry + 1])
+        added = np.bincount(self.example[posting], query[at][of] * self.weight[posting], scores.size)
+        scores += added.reshape(scores.shape)
 
     def vote(self, cosine: np.ndarray, example: np.ndarray, base: float) -> float:
         """Distance-weighted share of toxic neighbours, drawn towards ``base``.
@@ -201,8 +250,14 @@ class Model:
         if names is not None:
             order = np.argsort(self.index.names, kind="stable")
             own = order[np.searchsorted(self.index.names, names[found], sorter=order)]
-        for i, a, b, skip in zip(found.tolist(), edges, edges[1:], own):
-            yield i, *self.index.search(term[a:b], w[a:b], skip=int(skip))
+        for low in range(0, len(found), TOGETHER):
+            high = min(low + TOGETHER, len(found))
+            a, b = edges[low], edges[high]
+            parts = self.index.common_parts(
+                np.repeat(np.arange(high - low), np.diff(edges[low:high + 1])), term[a:b], w[a:b], high - low)
+            for j in range(low, high):
+                mine = slice(edges[j], edges[j + 1])
+                yield int(found[j]), *self.index.search(term[mine], w[mine], skip=int(own[j]), common=parts[j - low])
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, list[list], np.ndarray]:
         """Score, the ids of the nearest examples, and the blocks skipped, of every text."""
