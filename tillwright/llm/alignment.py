@@ -45,7 +45,7 @@ LANE = 1024
 RUN = 100_000
 # The characters that are white space in Unicode.
 _LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
-PIECE = 1 << 20
+PIECE = 1 << 19
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 ADDED = (*COUNTS, "groups", "pairs")
 

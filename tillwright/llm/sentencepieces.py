@@ -38,9 +38,9 @@ from pyspark.sql import types as T
 from tillwright.llm import tokens
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MEMO = 1 << 19
+MEMO = 1 << 17
 LONG_WORD = 48         # characters; the merges of a longer word are kept in a heap
-PIECE = 1 << 20
+PIECE = 1 << 18
 SPACE = "▁"
 _SPACE = SPACE.encode()
 # Kinds of pieces, and the kind of model, in the model file.
@@ -455,13 +455,14 @@ class Encoded:
 class Encoder:
     def __init__(self, model: Model):
         self.model = model
-        self.merges = Merges(model)
-        self.words = Words(model, self.merges)
+        self.words: Words | None = None   # a worker that only decodes needs no merges
 
     def encode(self, texts: pa.Array) -> Encoded:
         normal = normalise(self.model, texts)
-        if len(self.words.number) > MEMO:
-            self.words = Words(self.model, self.merges)
+        if self.words is None:
+            self.words = Words(self.model, Merges(self.model))
+        elif len(self.words.number) > MEMO:
+            self.words = Words(self.model, self.words.merges)
         data, bounds = normal.data, normal.bounds
         starts = bounds[:-1][np.diff(bounds) > 0]
         if self.model.apart and len(data) > 2:
