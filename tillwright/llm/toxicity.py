@@ -20,7 +20,7 @@ empty result. Index and terms are bounded by the sample and sent to the tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ MIN_SCORE = 15.0       # chi-square of such a word against the label
 MIN_LIFT = 3.0         # how much likelier a toxic example holds it
 K = 16
 OTHER = 0.1            # factor of the weights of all other words
-COMMON = 768           # terms in most examples, kept as a matrix too
+COMMON = 512           # terms in most examples, kept as a matrix too
 TOGETHER = 64          # texts multiplied at once
 BLOCK = 64             # examples in a block
 AHEAD = 8              # blocks added up before the first floor is known
@@ -96,9 +96,7 @@ class Index:
     block: np.ndarray     # of an entry: the block, its greatest weight, where its postings begin
     most: np.ndarray
     first: np.ndarray
-    place: np.ndarray     # term and block of an entry as one number
     column: np.ndarray    # of a term in the matrix, or -1
-    common: np.ndarray    # (examples, filled up to whole blocks; common terms)
     example: np.ndarray
     weight: np.ndarray
     label: np.ndarray
@@ -126,17 +124,32 @@ class Index:
         new = np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))[:len(term)]
         first = np.flatnonzero(new)
         greatest = np.maximum.reduceat(weight, first) if len(first) else weight
-        blocks = -(-n // BLOCK)
         column = np.full(n_terms, -1, np.int32)
         column[common] = np.arange(common.sum())
-        matrix = np.zeros((blocks * BLOCK, int(common.sum())), np.float32)
-        inside = common[term]
-        matrix[example[inside], column[term[inside]]] = weight[inside]
         return cls(
             np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32), block[first],
             np.nextafter(greatest.astype(np.float32), np.float32(2)),
-            np.append(first, len(term)).astype(np.int32), term[first].astype(np.int64) * blocks + block[first],
-            column, matrix, example, weight, label[by], prior[by], names[by])
+            np.append(first, len(term)).astype(np.int32), column, example, weight, label[by], prior[by],
+            names[by])
+
+    def __post_init__(self):
+        """What follows from the postings is not sent with them."""
+        blocks = -(-len(self.label) // BLOCK)
+        term = np.repeat(np.arange(len(self.column)), np.diff(self.entries))
+        # Term and block of an entry as one number.
+        self.place = term * blocks + self.block
+        # The common terms of all examples, filled up to whole blocks.
+        self.common = np.zeros((blocks * BLOCK, int((self.column >= 0).sum())), np.float32)
+        inside = np.flatnonzero(self.column[term] >= 0)
+        posting, of = _ranges(self.first[inside], self.first[inside + 1])
+        self.common[self.example[posting], self.column[term[inside]][of]] = self.weight[posting]
+
+    def __getstate__(self) -> dict:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
 
     def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
         """(cosine, example) of the ``k`` nearest, ties by id; example ``skip`` is left out."""
