@@ -53,10 +53,11 @@ PIECE = 2 << 20
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers from ``first`` to before ``last``, and the range each one is of."""
-    size = (last - first).astype(np.int64)
-    of = np.repeat(np.arange(len(size)), size)
-    return np.arange(len(of)) + np.repeat(first - np.cumsum(size) + size, size), of
+    """All numbers from ``first`` to before ``last``, and the sizes of the ranges."""
+    size = np.subtract(last, first, dtype=np.int64)
+    out = np.repeat(first - np.cumsum(size) + size, size)
+    out += np.arange(len(out))
+    return out, size
 
 
 # --- vectors -----------------------------------------------------------------------
@@ -136,13 +137,17 @@ class Index:
         """What follows from the postings is not sent with them."""
         blocks = -(-len(self.label) // BLOCK)
         term = np.repeat(np.arange(len(self.column)), np.diff(self.entries))
-        # Term and block of an entry as one number.
-        self.place = term * blocks + self.block
         # The common terms of all examples, filled up to whole blocks.
         self.common = np.zeros((blocks * BLOCK, int((self.column >= 0).sum())), np.float32)
         inside = np.flatnonzero(self.column[term] >= 0)
-        posting, of = _ranges(self.first[inside], self.first[inside + 1])
-        self.common[self.example[posting], self.column[term[inside]][of]] = self.weight[posting]
+        posting, size = _ranges(self.first[inside], self.first[inside + 1])
+        self.common[self.example[posting], np.repeat(self.column[term[inside]], size)] = self.weight[posting]
+        # The same postings by example, for the exact cosines of a few.
+        by = np.argsort(self.example, kind="stable")
+        self.own_term = np.repeat(term.astype(np.int32), np.diff(self.first))[by]
+        self.own_weight = self.weight[by]
+        self.own = np.searchsorted(self.example[by], np.arange(blocks * BLOCK + 1))
+        self._query = np.zeros(len(self.column))
 
     def __getstate__(self) -> dict:
         return {f.name: getattr(self, f.name) for f in fields(self)}
@@ -169,58 +174,57 @@ class Index:
 
         Postings of the blocks with the greatest bounds are added up first. The ``k``-th cosine
         found is a floor for the others: a block whose bound is below it is skipped. Single
-        precision only chooses: all examples within its error of the floor are added up anew.
+        precision only chooses: the cosines of all examples within its error of the floor are
+        computed anew from their own vectors.
         """
         if common is None:
             common = self.common_parts(np.zeros(len(terms), np.int64), terms, query, 1)[0]
         common = common.reshape(-1, BLOCK)
         blocks = len(common)
         others = np.flatnonzero(self.column[terms] < 0)
-        entry, at = _ranges(self.entries[terms[others]], self.entries[terms[others] + 1])
-        at = others[at]
+        entry, size = _ranges(self.entries[terms[others]], self.entries[terms[others] + 1])
+        factor = np.repeat(query[others], size)
         block = self.block[entry]
-        bounds = np.bincount(block, query[at] * self.most[entry], blocks) + common.max(axis=1)
+        bounds = np.bincount(block, factor * self.most[entry], blocks) + common.max(axis=1)
         open_ = np.flatnonzero(bounds > 0)
         open_ = open_[np.argsort(-bounds[open_], kind="stable")]
         about = np.zeros((blocks, BLOCK))
         looked, floor = 0, 0.0
-        for ahead in (AHEAD, 4 * AHEAD, len(open_)):
+        for ahead in (AHEAD, len(open_)):
             some = open_[looked:max(ahead, looked)]
             some = some[bounds[some] >= floor - 2 * MARGIN]
             if not len(some):
                 break
-            self._add(about, entry, at, block, some, query)
+            self._add(about, entry, factor, block, some)
             about[some] += common[some]
             if skip >= 0:
                 about[skip // BLOCK, skip % BLOCK] = 0
             looked += len(some)
             best = about[open_[:looked]].ravel()
             floor = np.partition(best, len(best) - k)[len(best) - k] if len(best) > k else 0.0
-        near = np.flatnonzero((about.ravel() >= floor - 2 * MARGIN) & (about.ravel() > 0))
-        some = np.unique(near // BLOCK)
-        exact = np.zeros((blocks, BLOCK))
-        self._add(exact, entry, at, block, some, query)
-        # Entries of the common terms in these few blocks, by their places.
-        inside = np.flatnonzero(self.column[terms] >= 0)
-        wanted = (terms[inside].astype(np.int64)[:, None] * blocks + some).ravel()
-        there = np.minimum(np.searchsorted(self.place, wanted), max(len(self.place) - 1, 0))
-        found = self.place[there] == wanted
-        self._sum(exact, there[found], np.repeat(inside, len(some))[found], query)
-        scores = exact.ravel()[near]
+        near = np.flatnonzero(about.ravel() >= max(floor - 2 * MARGIN, np.finfo(float).tiny))
+        scores = self.cosines(near, terms, query)
         order = np.lexsort((self.names[near], -scores))[:k]
         return scores[order], near[order], blocks - looked
 
-    def _add(self, scores, entry, at, block, some, query) -> None:
-        """Add the postings of ``entry``, of terms ``at``, in the blocks ``some``."""
+    def _add(self, scores, entry, factor, block, some) -> None:
+        """Add the postings of ``entry`` in the blocks ``some``, times ``factor``."""
         chosen = np.zeros(len(scores), bool)
         chosen[some] = True
         mine = np.flatnonzero(chosen[block])
-        self._sum(scores, entry[mine], at[mine], query)
-
-    def _sum(self, scores, entry, at, query) -> None:
-        posting, of = _ranges(self.first[entry], self.first[entry + 1])
-        added = np.bincount(self.example[posting], query[at][of] * self.weight[posting], scores.size)
-        scores += added.reshape(scores.shape)
+        entry = entry[mine]
+        posting, size = _ranges(self.first[entry], self.first[entry + 1])
+        added = np.repeat(factor[mine], size)
+        added *= self.weight[posting]
+        scores += np.bincount(self.example[posting], added, scores.size).reshape(scores.shape)
+
+    def cosines(self, examples: np.ndarray, terms: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Exact cosines of a few examples; equal vectors are added up in one order."""
+        posting, size = _ranges(self.own[examples], self.own[examples + 1])
+        self._query[terms] = query
+        parts = self._query[self.own_term[posting]] * self.own_weight[posting]
+        self._query[terms] = 0
+        return np.bincount(np.repeat(np.arange(len(examples)), size), parts, len(examples))
 
     def vote(self, cosine: np.ndarray, example: np.ndarray, base: float) -> float:
         """Distance-weighted share of toxic neighbours, drawn towards ``base``.
