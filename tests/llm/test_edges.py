@@ -17,14 +17,15 @@ from tillwright.llm import (
 from tillwright.llm.scratch import Scratch
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "shard string, score string, n_words string, slot string, copies string")
+          "shard string, score string, n_words string, slot string, copies string, "
+          "label string, quality string, __id string, __row string, component_id string")
 GAP = r"[^\x20\x09-\x0D]+"
 
 
 def frame(spark, rows):
     """Documents whose extra columns clash with the names of results."""
     return spark.createDataFrame(
-        [(i, t, "en", s, None, "x", "x", "x", "x", "x") for i, t, s in rows], SCHEMA)
+        [(i, t, "en", s, None, *["x"] * 10) for i, t, s in rows], SCHEMA)
 
 
 def texts(seed=1, n=60):
@@ -114,6 +115,19 @@ def test_near_duplicates_without_ids_or_rows(spark):
     assert near_dups.classify(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_deduplicate_leaves_one_row_of_each_group(spark):
+    """Rows without an id and rows that repeat one count one by one."""
+    t, u = "a b c d e f", "g h i j k l"
+    rows = [(1, t, "x"), (None, t, "y"), (None, t, "y"), (2, t, "x"), (1, t, "z"), (1, u, "x"),
+            (None, u, "x"), (None, "m n o p q", "x"), (None, "m n o p q", "x"), (3, None, "x"),
+            (3, None, "x"), (None, "", "x")]
+    left = near_dups.deduplicate(frame(spark, rows))
+    assert left.columns == frame(spark, rows).columns
+    got = sorted((str(r["doc_id"]), r["text"] or "") for r in left.collect())
+    assert got == [("1", t), ("1", u), ("3", ""), ("3", ""), ("None", ""), ("None", "m n o p q")]
+    assert near_dups.deduplicate(frame(spark, rows).limit(0)).count() == 0
+
+
 def test_unlinked_members_of_a_bucket_are_compared(spark):
     """A chain: neighbours are similar, the ends are not, and no member is near them all."""
     words = [f"c{i}" for i in range(400)]

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm import tokens
+from tillwright.llm.columns import fresh_name
 from tillwright.llm.components import components
 from tillwright.llm.scratch import Scratch
 
@@ -290,10 +291,21 @@ def remaining_links(
 def deduplicate(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
 ) -> DataFrame:
-    """``docs`` with one document of each group; all columns as they are.
+    """``docs`` with one row of each group; all columns as they are.
 
-    Rows that repeat an id stay if that id stays.
+    The row with the smallest id stays, a row without an id only where none of the group has
+    one. Rows that repeat an id are rows like all others: equal ones are a group, of which
+    one stays. Rows without a word stay. Rows are told apart by a number, which is stored
+    with them, so that a repeated task sees the same numbers.
     """
-    classed = classify(docs, key, text, shingle, percent)
-    gone = classed.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[f"`{key}`"] == gone["__gone"], "left_anti")
+    scratch = Scratch(docs.sparkSession, "dedup")
+    row, component = fresh_name(docs, "__row"), "component_id"
+    numbered = scratch.write(
+        docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classed = classify(numbered, row, text, shingle, percent).select(
+        F.col("doc_id").alias(row), component)
+    ids = numbered.select(row, F.col(f"`{key}`").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", row))
+    stay = classed.join(ids, row).groupBy(component).agg(first.alias("first")).select(
+        F.col(f"first.{row}").alias(row))
+    return numbered.join(stay, row, "left_semi").drop(row)

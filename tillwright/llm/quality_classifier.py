@@ -149,9 +149,10 @@ def training_rows(
     share = min(1.0, most / max(usable.count(), 1))
     chosen = usable.where(
         draw_bits(F.col("__id"), F.lit("fit")) < F.lit(int(share * (1 << 52))))
-    return docs.join(F.broadcast(chosen), docs[f"`{key}`"] == chosen["__id"]).select(
-        "__id", F.col("label").cast("double").alias("label"),
-        statistics(docs[f"`{text}`"]).alias("stats"))
+    # Two columns only, under names of their own: others of ``docs`` may be called the same.
+    texts = docs.select(F.col(f"`{key}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
+    return texts.join(F.broadcast(chosen), "__id").select(
+        "__id", F.col("label").cast("double").alias("label"), statistics(F.col("__text")).alias("stats"))
 
 
 def fit(
