@@ -24,7 +24,7 @@ from tillwright.operators import (  # noqa: E402
     channels, dims, facts, id_index, incremental, keys, lookup, shaping,
 )
 from tillwright.plans import (  # noqa: E402
-    bridge, denormalise, marts, merge, model, standardize, views,
+    bridge, denormalise, mart_states, marts, merge, model, standardize, views,
 )
 from tillwright.sources import (  # noqa: E402
     commits, manifest, readers, schemas, sinks, tables, workspace,
@@ -832,6 +832,57 @@ def monthly_sales(spark, sf_dir):
                   total_sales=3, prev_month_sales=3)
 
 
+def _mart_inputs(spark, sf_dir, channel=None):
+    """All columns the marts need; offline sales have no shipping state."""
+    return bridge.sales(spark, sf_dir, mart_states.CHANNEL, *mart_states.GRAINS,
+                        "total_price", "units", "discount", channel=channel)
+
+
+def _mart_star(spark, sf_dir):
+    return {"date": _day(spark, sf_dir), "product": bridge.product_dim(spark, sf_dir),
+            "customer": bridge.customer_dim(spark, sf_dir), "branch": bridge.branch_dim(spark, sf_dir),
+            "sales_agent": bridge.sales_agent_dim(spark, sf_dir)}
+
+
+def _one_layout(found: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all marts, names as text and numbers rounded as in the single queries."""
+    decimals = {"total_sales": 3, "prev_month_sales": 3, "average_discount": 6, "average_sales": 4}
+    out = []
+    for name, (labels, values) in oracles.MART_COLUMNS.items():
+        places = {c: decimals[c] for c in values if c in decimals}
+        rows = _plain(found[name], **places)
+        numbers = [F.col(c).cast("double") for c in values] + [F.lit(None).cast("double")] * (3 - len(values))
+        out.append(rows.select(
+            F.lit(name).alias("mart"),
+            F.concat(*[F.concat(F.lit("/" if i else ""), F.col(c)) for i, c in enumerate(labels)]).alias("label"),
+            *[n.alias(c) for n, c in zip(numbers, ("first_value", "second_value", "third_value"))]))
+    return channels.stack(*out)
+
+
+@query
+def marts_one_scan(spark, sf_dir):
+    """The fifteen marts from states that one scan of the sales wrote."""
+    stored = workspace.materialize(mart_states.states(_mart_inputs(spark, sf_dir)), "mart-states")
+    return _one_layout(mart_states.build(stored, _mart_star(spark, sf_dir)))
+
+
+@query
+def maintained_marts(spark, sf_dir):
+    """The same after three loads of facts, the second one wrong at first and then replaced."""
+    base = workspace.fresh_path(spark, "maintained")
+    star, log = f"{base}/star", commits.Log(spark, f"{base}/star")
+    third = F.col("date_key") % 3
+    for load, part in (("a", third == 0), ("b", third < 2), ("b", third == 1), ("c", third == 2)):
+        work = log.begin(load)
+        for channel in ("online", "offline"):
+            fact = _mart_inputs(spark, sf_dir, channel).where(part).drop(mart_states.CHANNEL)
+            work.write(model.fact_path(channel), fact)
+        work.commit()
+        mart_states.refresh(spark, f"{base}/marts", star)
+    stored = workspace.materialize(mart_states.refresh(spark, f"{base}/marts", star), "mart-states")
+    return _one_layout(mart_states.build(stored, _mart_star(spark, sf_dir)))
+
+
 # --- views ---------------------------------------------------------------------------------
 
 

@@ -207,6 +207,38 @@ def channel_means(key: str, measure: str, label: str, name: str, joins: str, dig
         FROM ({base}) GROUP BY {key}) {joins}"""
 
 
+# Of every mart: the columns that name a row, and its numbers.
+MART_COLUMNS = {
+    "total_monthly_sales": (("year", "month"), ("total_sales",)),
+    "total_product_sales": (("product_name",), ("total_sales",)),
+    "total_payment_method_sales": (("payment_method",), ("total_sales",)),
+    "total_customer_sales": (("customer_id",), ("total_sales",)),
+    "branch_sales": (("branch_id",), ("total_sales",)),
+    "agent_sales": (("sales_agent_name",), ("total_sales",)),
+    "top_products": (("product_name",), ("total_units",)),
+    "discount_by_product": (("product_name",), ("average_discount",)),
+    "total_sales_trend": (("datee",), ("total_sales",)),
+    "total_category_sales": (("product_category",), ("total_sales",)),
+    "avg_sales_per_customer": (("customer_name",), ("average_sales",)),
+    "freq_customers": (("customer_name",), ("total_transactions",)),
+    "total_sales_by_state": (("shipping_state",), ("total_sales",)),
+    "clv": (("customer_name",), ("total_sales", "total_units")),
+    "monthly_sales": (("year", "month"), ("total_sales", "prev_month_sales", "growth_rate")),
+}
+
+
+def all_marts(out: dict[str, str]) -> str:
+    """The rows of all marts in one layout."""
+    def part(name: str) -> str:
+        labels, values = MART_COLUMNS[name]
+        label = " || '/' || ".join(f"CAST({c} AS VARCHAR)" for c in labels)
+        numbers = [f"CAST({c} AS DOUBLE)" for c in values] + ["CAST(NULL AS DOUBLE)"] * (3 - len(values))
+        first, second, third = numbers
+        return f"""SELECT '{name}' AS mart, {label} AS label, {first} AS first_value,
+            {second} AS second_value, {third} AS third_value FROM ({out[name]})"""
+    return " UNION ALL ".join(part(name) for name in MART_COLUMNS)
+
+
 def manifest() -> str:
     return """files AS (SELECT '/drops/group' || (o_custkey % 6 + 1) || '/' ||
         CASE o_orderkey % 3 WHEN 0 THEN 'branches' WHEN 1 THEN 'sales_agents'
@@ -629,6 +661,7 @@ def build() -> dict[str, str]:
     out["lowest_sales_cities_offline"] = sales(
         ["branch_key"], f"n_name AS city, {TOTAL}",
         f"{BRANCH} GROUP BY 1 ORDER BY 2, 1 LIMIT 10", "offline")
+    out["marts_one_scan"] = out["maintained_marts"] = all_marts(out)
     out["registered_views"] = " UNION ALL ".join(
         f"SELECT 'report_{name}' AS view_name, (SELECT count(*) FROM ({out[name]})) AS rows"
         for name in [f"{view}_{channel}" for channel in ("online", "offline") for view in (
