@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, fields, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ MIN_LIFT = 3.0         # how much likelier a toxic example holds it
 K = 16
 OTHER = 0.1            # factor of the weights of all other words
 COMMON = 512           # terms in most examples, kept as a matrix too
-TOGETHER = 64          # texts multiplied at once
+TOGETHER = 256         # texts multiplied at once
 BLOCK = 64             # examples in a block
 AHEAD = 8              # blocks added up before the first floor is known
 MARGIN = 1e-4          # above the error of a product in single precision
@@ -133,29 +134,37 @@ class Index:
             np.append(first, len(term)).astype(np.int32), column, example, weight, label[by], prior[by],
             names[by])
 
-    def __post_init__(self):
-        """What follows from the postings is not sent with them."""
-        blocks = -(-len(self.label) // BLOCK)
+    # What follows from the postings is not sent with them; tasks compute it once, the driver never.
+
+    @cached_property
+    def blocks(self) -> int:
+        return -(-len(self.label) // BLOCK)
+
+    @cached_property
+    def common(self) -> np.ndarray:
+        """The common terms of all examples, filled up to whole blocks."""
+        out = np.zeros((self.blocks * BLOCK, int((self.column >= 0).sum())), np.float32)
         term = np.repeat(np.arange(len(self.column)), np.diff(self.entries))
-        # The common terms of all examples, filled up to whole blocks.
-        self.common = np.zeros((blocks * BLOCK, int((self.column >= 0).sum())), np.float32)
         inside = np.flatnonzero(self.column[term] >= 0)
         posting, size = _ranges(self.first[inside], self.first[inside + 1])
-        self.common[self.example[posting], np.repeat(self.column[term[inside]], size)] = self.weight[posting]
-        # The same postings by example, for the exact cosines of a few.
+        out[self.example[posting], np.repeat(self.column[term[inside]], size)] = self.weight[posting]
+        return out
+
+    @cached_property
+    def own(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same postings by example, for the exact cosines of a few: (edges, term, weight)."""
         by = np.argsort(self.example, kind="stable")
-        self.own_term = np.repeat(term.astype(np.int32), np.diff(self.first))[by]
-        self.own_weight = self.weight[by]
-        self.own = np.searchsorted(self.example[by], np.arange(blocks * BLOCK + 1))
-        self._query = np.zeros(len(self.column))
+        term = np.repeat(np.arange(len(self.column), dtype=np.int32), np.diff(self.first[self.entries]))
+        edges = np.searchsorted(self.example[by], np.arange(self.blocks * BLOCK + 1))
+        return edges, term[by], self.weight[by]
+
+    @cached_property
+    def _query(self) -> np.ndarray:
+        return np.zeros(len(self.column))
 
     def __getstate__(self) -> dict:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.__post_init__()
-
     def nearest(self, terms: np.ndarray, query: np.ndarray, k: int = K, skip: int = -1):
         """(cosine, example) of the ``k`` nearest, ties by id; example ``skip`` is left out."""
         return self.search(terms, query, k, skip)[:2]
@@ -220,9 +229,10 @@ class Index:
 
     def cosines(self, examples: np.ndarray, terms: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact cosines of a few examples; equal vectors are added up in one order."""
-        posting, size = _ranges(self.own[examples], self.own[examples + 1])
+        edges, own_term, own_weight = self.own
+        posting, size = _ranges(edges[examples], edges[examples + 1])
         self._query[terms] = query
-        parts = self._query[self.own_term[posting]] * self.own_weight[posting]
+        parts = self._query[own_term[posting]] * own_weight[posting]
         self._query[terms] = 0
         return np.bincount(np.repeat(np.arange(len(examples)), size), parts, len(examples))
 
