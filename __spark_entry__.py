@@ -27,8 +27,9 @@ from tillwright.plans import (  # noqa: E402
     bridge, denormalise, mart_states, marts, merge, model, standardize, views,
 )
 from tillwright.sources import (  # noqa: E402
-    commits, manifest, readers, schemas, sinks, tables, workspace,
+    commits, manifest, readers, rejects, schemas, sinks, tables, workspace,
 )
+from tillwright.streaming import distinct  # noqa: E402
 from tillwright.streaming import events as ev  # noqa: E402
 from tillwright.streaming import runner  # noqa: E402
 from tillwright.streaming import sinks as stream_sinks  # noqa: E402
@@ -372,6 +373,35 @@ def reconcile_schema(spark, sf_dir):
     return _plain(readers.reconcile(readers.read_csv(spark, path), expected, partitions=8))
 
 
+def _careless_intake(spark, sf_dir):
+    path = workspace.fresh_path(spark, "careless-csv")
+    bridge.careless_export(spark, sf_dir, path)
+    target = workspace.fresh_path(spark, "careless-intake")
+    expected = schemas.ddl("transaction_id string, units long, unit_price double, transaction_date date")
+    return target, rejects.intake(spark, path, expected, target)
+
+
+@query
+def rejected_values(spark, sf_dir):
+    """Every text that does not fit its column, and every line of another length."""
+    target, _ = _careless_intake(spark, sf_dir)
+    return rejects.ledger(spark, target, ["transaction_id"]).drop(rejects.FILE)
+
+
+@query
+def rejected_counts(spark, sf_dir):
+    """The counts taken while the rows were written."""
+    _, got = _careless_intake(spark, sf_dir)
+    counts = {"rows_in": got.rows_in, "malformed": got.malformed, **got.rejected}
+    return spark.createDataFrame(list(counts.items()), "counted string, rows long")
+
+
+@query
+def accepted_rows(spark, sf_dir):
+    target, _ = _careless_intake(spark, sf_dir)
+    return _plain(rejects.accepted(spark, target))
+
+
 @query
 def json_by_extension(spark, sf_dir):
     path = workspace.fresh_path(spark, "drop") + ".json"
@@ -1088,6 +1118,44 @@ def stream_all_views(spark, sf_dir):
     return channels.stack(*counts)
 
 
+def _customers_of_periods(events, sketches):
+    """Merged estimates of days and months held against exact counts."""
+    parts = []
+    for unit in ("day", "month"):
+        exact = events.where("customerId IS NOT NULL").groupBy(
+            "eventType", "category", F.date_trunc(unit, "timestamp").alias("period")).agg(
+            F.count("*").alias("events"), F.count_distinct("customerId").alias("customers"))
+        merged = distinct.merge(sketches, unit).select(
+            F.col("eventType").alias("t"), F.col("category").alias("c"), F.col("period").alias("p"),
+            F.col("events").alias("n"), distinct.estimate().alias("estimate"))
+        both = exact.join(merged, F.col("eventType").eqNullSafe(F.col("t"))
+                          & F.col("category").eqNullSafe(F.col("c")) & (F.col("period") == F.col("p")), "full")
+        parts.append(both.select(
+            F.lit(unit).alias("unit"), "eventType", "category", "period", F.col("n").alias("events"), "customers",
+            distinct.within_error("estimate", "customers").alias("within_error")))
+    return _plain(channels.stack(*parts))
+
+
+def _categorised(events):
+    return events.withColumn("category", F.col("metadata.category"))
+
+
+@query
+def merged_distinct_customers(spark, sf_dir):
+    events = _categorised(_events(spark, sf_dir))
+    stored = workspace.materialize(distinct.hourly(events, ["eventType", "category"]), "hour-sketches")
+    return _customers_of_periods(events, stored)
+
+
+@query
+def stream_merged_distinct_customers(spark, sf_dir):
+    base = workspace.fresh_path(spark, "stream-sketches")
+    distinct.write_hours(_categorised(_stream(spark, sf_dir)), ["eventType", "category"], f"{base}/out",
+                         f"{base}/checkpoint", stream_sinks.DRAIN).awaitTermination()
+    return _customers_of_periods(
+        _categorised(_events(spark, sf_dir)), distinct.stored_hours(spark, f"{base}/out"))
+
+
 # --- contract ------------------------------------------------------------------------------------
 
 

@@ -239,6 +239,28 @@ def all_marts(out: dict[str, str]) -> str:
     return " UNION ALL ".join(part(name) for name in MART_COLUMNS)
 
 
+def export(select: str) -> str:
+    """Statement over the careless export: its fields as text, and its lines."""
+    fields = ", ".join(f'{e} AS "{c}"' for c, e in bridge.EXPORT.items())
+    parts = ", ".join(f"{e} AS f{i}" for i, e in enumerate(bridge.EXPORT.values(), 1))
+    return f"""WITH raw AS ({_select(bridge.EXPORT_COLUMNS, bridge.RAW)}),
+        fields AS (SELECT {fields} FROM raw WHERE NOT ({bridge.EXPORT_MALFORMED})),
+        lines AS (SELECT {bridge.EXPORT_LINE} AS line FROM (SELECT product_id, {parts} FROM raw)
+            WHERE {bridge.EXPORT_MALFORMED}),
+        misfits AS ({" UNION ALL ".join(
+            f"""SELECT transaction_id, '{c}' AS rejected_column, replace({c}, '""', '') AS value
+            FROM fields WHERE {c} <> '' AND try_cast({c} AS {kind}) IS NULL"""
+            for c, kind in (("units", "BIGINT"), ("unit_price", "DOUBLE"), ("transaction_date", "DATE")))})
+        {select}"""
+
+
+def customers_of(unit: str) -> str:
+    return f"""SELECT '{unit}' AS unit, "eventType", category,
+        strftime(date_trunc('{unit}', timestamp), '%Y-%m-%d %H:%M:%S') AS period,
+        count(*) AS events, count(DISTINCT "customerId") AS customers, TRUE AS within_error
+        FROM events_ WHERE "customerId" IS NOT NULL GROUP BY ALL"""
+
+
 def manifest() -> str:
     return """files AS (SELECT '/drops/group' || (o_custkey % 6 + 1) || '/' ||
         CASE o_orderkey % 3 WHEN 0 THEN 'branches' WHEN 1 THEN 'sales_agents'
@@ -405,6 +427,15 @@ def build() -> dict[str, str]:
             """trim(transaction_id) AS transaction_id, units, unit_price,
             CAST(transaction_date AS VARCHAR) AS transaction_date,
             CAST(NULL AS VARCHAR) AS logs, 'kept' AS remark"""),
+        "rejected_values": export("""SELECT * FROM misfits
+            UNION ALL SELECT NULL, NULL, line FROM lines"""),
+        "rejected_counts": export("""SELECT 'rows_in' AS counted, (SELECT count(*) FROM raw) AS "rows"
+            UNION ALL SELECT 'malformed', (SELECT count(*) FROM lines)
+            UNION ALL SELECT c, (SELECT count(*) FROM misfits WHERE rejected_column = c)
+            FROM (VALUES ('transaction_id'), ('units'), ('unit_price'), ('transaction_date')) t(c)"""),
+        "accepted_rows": export("""SELECT transaction_id, try_cast(units AS BIGINT) AS units,
+            try_cast(unit_price AS DOUBLE) AS unit_price,
+            CAST(try_cast(transaction_date AS DATE) AS VARCHAR) AS transaction_date FROM fields"""),
         "json_by_extension": raw(["transaction_id", "units", "unit_price", "payment_method"],
                                  "* REPLACE (abs(unit_price) AS unit_price)"),
         "merge_schema_scan": raw(
@@ -606,6 +637,8 @@ def build() -> dict[str, str]:
                  ELSE 'Low Value' END AS segment"""),
         "product_inventory": window(HOUR, '"productId"',
                                     "CAST(sum(quantity) AS BIGINT) AS quantity_sold"),
+        **{name: f"WITH {messages()} {customers_of('day')} UNION ALL {customers_of('month')}"
+           for name in ("merged_distinct_customers", "stream_merged_distinct_customers")},
         "latest_event_per_customer": LATEST,
         "stream_hourly_sales": window(
             HOUR, '"productId"', amounts("num_purchases", "total_sales", "avg_sale_value"),

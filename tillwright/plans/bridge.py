@@ -102,6 +102,25 @@ SALES = {
 }
 AMOUNT = "l_extendedprice * (1 - l_discount)"
 
+# Fields of a CSV line as a careless export writes them, over columns of RAW, and the whole
+# line: some have a field too many, some lack the last two.
+EXPORT = {
+    "units": """CASE WHEN product_id % 11 = 3 THEN concat(units, ' pcs')
+        WHEN product_id % 13 = 5 THEN '""' ELSE CAST(units AS STRING) END""",
+    "transaction_id": "transaction_id",
+    "unit_price": """CASE WHEN product_id % 17 = 2 THEN 'n/a' WHEN product_id % 19 = 6 THEN ''
+        ELSE CAST(unit_price AS STRING) END""",
+    "transaction_date": """CASE WHEN customer_id % 19 = 4
+        THEN concat(substr(CAST(transaction_date AS STRING), 1, 8), '32')
+        ELSE CAST(transaction_date AS STRING) END""",
+}
+EXPORT_COLUMNS = ("units", "transaction_id", "unit_price", "transaction_date", "product_id", "customer_id")
+EXPORT_LINE = """CASE WHEN product_id % 23 = 7
+    THEN concat(f1, ',', f2, ',', f3, ',', f4, ',surplus')
+    WHEN product_id % 29 = 9 THEN concat(f1, ',', f2)
+    ELSE concat(f1, ',', f2, ',', f3, ',', f4) END"""
+EXPORT_MALFORMED = "product_id % 23 = 7 OR product_id % 29 = 9"
+
 # Event message fields. Sign-ups and errors have no counterpart; they keep their type.
 EVENTS = {
     "eventType": """CASE event_type WHEN 'view' THEN 'productView'
@@ -158,6 +177,17 @@ def raw_transactions(
     return lines.select(*[F.expr(RAW[c][0]).alias(c) for c in columns])
 
 
+def careless_export(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Sales as CSV lines with texts that are no numbers or dates, and with lines of other lengths."""
+    raw = raw_transactions(spark, sf_dir, EXPORT_COLUMNS)
+    fields = raw.select("product_id", *[F.expr(e).alias(f"f{i}") for i, e in enumerate(EXPORT.values(), 1)])
+    line = F.expr(EXPORT_LINE).alias(",".join(EXPORT))
+    # One column that holds whole lines: a separator and a quote that no line holds.
+    fields.select(line).write.options(
+        header=True, sep="\u0001", quote="\u0002", escapeQuotes=False, ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def sales(spark: SparkSession, sf_dir: str, *columns: str, channel: str | None = None) -> DataFrame:
     """Star schema sales with the requested columns; ``total_price`` is one of them.
 
