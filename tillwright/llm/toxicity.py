@@ -42,10 +42,10 @@ MIN_SCORE = 15.0       # chi-square of such a word against the label
 MIN_LIFT = 3.0         # how much likelier a toxic example holds it
 K = 16
 OTHER = 0.1            # factor of the weights of all other words
-COMMON = 512           # terms in most examples, kept as a matrix too
+COMMON = 1024          # terms in most examples, kept as a matrix too
 TOGETHER = 256         # texts multiplied at once
 BLOCK = 64             # examples in a block
-AHEAD = 8              # blocks added up before the first floor is known
+AHEAD = 5              # one block in so many is added up before the first floor is known
 MARGIN = 1e-4          # above the error of a product in single precision
 POWER = 2              # of the cosine in a vote
 SOFTEN = 0.1           # added to a distance before it divides a vote
@@ -64,13 +64,31 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # --- vectors -----------------------------------------------------------------------
 
 
+def places(hashes: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Where hashes stand in the sorted ``terms``, or -1; their leading bits tell where to look."""
+    shift = np.uint64(64 - max(len(terms).bit_length(), 1))
+    first = np.append(0, np.cumsum(np.bincount((terms >> shift).astype(np.int64), minlength=1 << (64 - int(shift)))))
+    bucket = (hashes >> shift).astype(np.int64)
+    at, end = first[bucket], first[bucket + 1]
+    out = np.full(len(hashes), -1, np.int64)
+    open_ = np.flatnonzero(at < end)
+    while len(open_):
+        here = at[open_]
+        hit = terms[here] == hashes[open_]
+        out[open_[hit]] = here[hit]
+        open_ = open_[~hit]
+        at[open_] += 1
+        open_ = open_[at[open_] < end[open_]]
+    return out
+
+
 def term_counts(texts: pa.Array, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, term, occurrences) of the sorted word hashes ``terms``."""
     found = tokens.words(texts, tokens.alphanumeric())
     if not len(terms) or not len(found.hashes):
         return (np.zeros(0, np.int64),) * 3
-    at = np.minimum(np.searchsorted(terms, found.hashes), len(terms) - 1)
-    known = np.flatnonzero(terms[at] == found.hashes)
+    at = places(found.hashes, terms)
+    known = np.flatnonzero(at >= 0)
     pairs, n = np.unique(found.owners()[known] * len(terms) + at[known], return_counts=True)
     return pairs // len(terms), pairs % len(terms), n
 
@@ -199,7 +217,7 @@ class Index:
         open_ = open_[np.argsort(-bounds[open_], kind="stable")]
         about = np.zeros((blocks, BLOCK))
         looked, floor = 0, 0.0
-        for ahead in (AHEAD, len(open_)):
+        for ahead in (-(-blocks // AHEAD), len(open_)):
             some = open_[looked:max(ahead, looked)]
             some = some[bounds[some] >= floor - 2 * MARGIN]
             if not len(some):
