@@ -50,7 +50,7 @@ MARGIN = 1e-4          # above the error of a product in single precision
 POWER = 2              # of the cosine in a vote
 SOFTEN = 0.1           # added to a distance before it divides a vote
 ACCEPT = 0.5
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +138,10 @@ class Index:
         place = np.empty(n, np.min_scalar_type(max(n, 1)))
         place[by] = np.arange(n)
         example = place[row]
+        del row, some
         order = np.lexsort((example, term))
         term, example, weight = term[order], example[order], weight[order]
+        del order
         block = (example // BLOCK).astype(np.min_scalar_type(max(n // BLOCK, 1)))
         new = np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))[:len(term)]
         first = np.flatnonzero(new)
@@ -162,19 +164,18 @@ class Index:
     def common(self) -> np.ndarray:
         """The common terms of all examples, filled up to whole blocks."""
         out = np.zeros((self.blocks * BLOCK, int((self.column >= 0).sum())), np.float32)
-        term = np.repeat(np.arange(len(self.column)), np.diff(self.entries))
-        inside = np.flatnonzero(self.column[term] >= 0)
-        posting, size = _ranges(self.first[inside], self.first[inside + 1])
-        out[self.example[posting], np.repeat(self.column[term[inside]], size)] = self.weight[posting]
+        for term in np.flatnonzero(self.column >= 0):   # the postings of a term stand together
+            mine = slice(*self.first[self.entries[term:term + 2]])
+            out[self.example[mine], self.column[term]] = self.weight[mine]
         return out
 
     @cached_property
     def own(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same postings by example, for the exact cosines of a few: (edges, term, weight)."""
-        by = np.argsort(self.example, kind="stable")
-        term = np.repeat(np.arange(len(self.column), dtype=np.int32), np.diff(self.first[self.entries]))
+        """The same postings by example, for the exact cosines of a few: (edges, term, posting)."""
+        by = np.argsort(self.example, kind="stable").astype(np.int32)
         edges = np.searchsorted(self.example[by], np.arange(self.blocks * BLOCK + 1))
-        return edges, term[by], self.weight[by]
+        term = np.repeat(np.arange(len(self.column), dtype=np.int32), np.diff(self.first[self.entries]))
+        return edges, term[by], by
 
     @cached_property
     def _query(self) -> np.ndarray:
@@ -247,10 +248,10 @@ class Index:
 
     def cosines(self, examples: np.ndarray, terms: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact cosines of a few examples; equal vectors are added up in one order."""
-        edges, own_term, own_weight = self.own
+        edges, own_term, own = self.own
         posting, size = _ranges(edges[examples], edges[examples + 1])
         self._query[terms] = query
-        parts = self._query[own_term[posting]] * own_weight[posting]
+        parts = self._query[own_term[posting]] * self.weight[own[posting]]
         self._query[terms] = 0
         return np.bincount(np.repeat(np.arange(len(examples)), size), parts, len(examples))
 
@@ -444,9 +445,12 @@ def _indexed(rows: DataFrame, terms: np.ndarray, idf: np.ndarray, base: float) -
         return Model(terms, idf, None, base, without)
     row = np.repeat(np.arange(len(some), dtype=np.int32), sizes[some])
     term, weight = (pc.list_flatten(found.column(c)).to_numpy() for c in ("term", "weight"))
-    del found
-    index = Index.build(row, term, weight, len(terms), label[some], prior[some], names[some])
-    del row, term, weight
+    postings = [weight, term, row]
+    del found, row, term, weight
+    pa.default_memory_pool().release_unused()
+    # Handed over: the driver is to hold one copy while it sorts.
+    index = Index.build(postings.pop(), postings.pop(), postings.pop(), len(terms), label[some], prior[some],
+                        names[some])
     model = Model(terms, idf, index, base, without)
     held.unpersist()
     model.held = rows.sparkSession.sparkContext.broadcast(model)
