@@ -71,3 +71,14 @@ def test_the_rules_stay_out_of_the_method_of_a_stage(spark, folder):
 
 def test_ids_are_cleaned_as_before(spark):
     assert rows(standardize.standardize(raw(spark)).select("transaction_id", "discount")) == [("trx-12", 0.05)]
+
+
+def test_one_task_of_a_drop_only_copies_rows(spark, folder, monkeypatch):
+    written = []
+    real = sinks.write_csv
+    monkeypatch.setattr(sinks, "write_csv", lambda df, *a, **k: (written.append(plan(df)), real(df, *a, **k)))
+    joined = spark.range(4).join(spark.range(2, 9), "id")
+    entry._drop_file(joined, folder, "branches_SS_raw_1")
+    assert "Join" not in written[0]
+    assert os.path.isfile(f"{folder}/branches_SS_raw_1.csv")
+    assert rows(spark.read.csv(f"{folder}/branches_SS_raw_1.csv", header=True)) == [("2",), ("3",)]
