@@ -82,3 +82,9 @@ def test_one_task_of_a_drop_only_copies_rows(spark, folder, monkeypatch):
     assert "Join" not in written[0]
     assert os.path.isfile(f"{folder}/branches_SS_raw_1.csv")
     assert rows(spark.read.csv(f"{folder}/branches_SS_raw_1.csv", header=True)) == [("2",), ("3",)]
+
+
+def test_both_loads_of_a_merge_read_stored_rows(spark, tables):
+    merged = entry._QUERIES["merge_dedup"](spark, tables)
+    assert "lineitem" not in "".join(merged.inputFiles())
+    assert merged.count() == 0
