@@ -88,3 +88,11 @@ def test_both_loads_of_a_merge_read_stored_rows(spark, tables):
     merged = entry._QUERIES["merge_dedup"](spark, tables)
     assert "lineitem" not in "".join(merged.inputFiles())
     assert merged.count() == 0
+
+
+def test_the_loads_of_facts_read_the_joined_sales_once(spark, tables, monkeypatch):
+    built = []
+    real = bridge.sales
+    monkeypatch.setattr(bridge, "sales", lambda *a, **k: (built.append(a), real(*a, **k))[1])
+    entry._QUERIES["maintained_marts"](spark, tables)
+    assert len(built) == 1
