@@ -96,3 +96,15 @@ def test_the_loads_of_facts_read_the_joined_sales_once(spark, tables, monkeypatc
     monkeypatch.setattr(bridge, "sales", lambda *a, **k: (built.append(a), real(*a, **k))[1])
     entry._QUERIES["maintained_marts"](spark, tables)
     assert len(built) == 1
+
+
+def test_all_sales_are_written_without_a_shuffle(spark, folder, monkeypatch):
+    dealt = []
+    real = sinks.by_partition
+    monkeypatch.setattr(sinks, "by_partition", lambda df, *c: (dealt.append(df.columns), real(df, *c))[1])
+    cleaned = standardize.standardize(raw(spark))
+    batches = [standardize.channel(cleaned, c) for c in ("online", "offline")]
+    denormalise.load(*batches, folder, "month")
+    assert len(dealt) == 6
+    stored = denormalise.stored(spark, folder)["all"]
+    assert [tuple(r) for r in stored.select("transaction_id", F.col("units")).collect()] == [("trx-12", 2)]
