@@ -1,6 +1,7 @@
 """Shards of token ids: a bijection, an exact round trip, resumable reads."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillwright.llm import training_order as order
@@ -56,3 +57,25 @@ def test_empty_and_null_ids(spark, folder):
     spark.createDataFrame([(None, "a b"), (None, "a b")], schema).write.parquet(f"{folder}/nulls")
     assert order.write(spark.read.parquet(f"{folder}/nulls"), f"{folder}/two") == 2
     assert [r["doc_id"] for r in order.read(spark, f"{folder}/two").collect()] == [None, None]
+
+
+def test_remembered_words_give_the_tokens_of_whole_texts():
+    tokenizer = order._tokenizer(order.VOCABULARY)
+    rng = np.random.default_rng(1)
+    marks = list(" \t\n\r\x1c\x1f\x85\xa0    　​'stdllàA1½!?,😀日\x00́") + ["  ", "'s ", " é"]
+    texts = ["".join(rng.choice(marks, n)) for n in rng.integers(0, 15, 4000)] + [None, "", " ", "a b " * 900]
+    words = order._Words(tokenizer)
+    for given in (texts, texts[::-1], [], [None]):
+        all_, bounds = words.tokens(pa.array(given, pa.string()))
+        got = [all_[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert got == [tokenizer.encode_ordinary(t or "") for t in given]
+
+
+def test_words_are_tokenized_once_and_compared_with_the_text():
+    words = order._Words(order._tokenizer(order.VOCABULARY))
+    texts = pa.array(["unheard words are learned", "once, unheard words"])
+    first, encode, calls = words.tokens(texts)[0].tolist(), words.encode, []
+    words.encode = lambda t: calls.append(t) or encode(t)
+    assert words.tokens(texts)[0].tolist() == first and set(calls) <= {""}
+    words.pool[:] = words.pool[::-1].copy()   # as if other words had these hashes
+    assert words.tokens(texts)[0].tolist() == first

@@ -104,6 +104,20 @@ def words(texts: pa.Array, table: np.ndarray) -> Words:
     return Words(mixed(hashes), np.searchsorted(starts, offsets).astype(np.int64))
 
 
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all texts, where each begins and the last ends); a null text is empty."""
+    return _buffers(texts)
+
+
+def stretches(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes from each of ``starts`` to the next one, of the last to the end."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        sums = np.add.reduceat(_BYTE[data] * _powers(_BASE, len(data)), starts)
+        return mixed(sums * _powers(_INVERSE, len(data) + 1)[starts])
+
+
 _POWERS: dict[int, np.ndarray] = {}
 
 

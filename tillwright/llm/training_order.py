@@ -16,7 +16,10 @@ Spark's text writer, so they can lie in any file system Spark knows.
 Null and empty texts are one part that holds ``END`` alone, so no row is lost. Ids
 must be integers or null. Repeated rows stay repeated. Extra columns are not
 written. An empty table writes no records. Texts are tokenized twice, which costs
-less than to keep their tokens between the passes.
+less than to keep their tokens between the passes. A single space between characters
+that are no white space always begins a new piece of the pattern, so texts are cut
+there and the tokens of a worker's words are remembered. What is taken from memory is
+compared with the text byte by byte, so no hash decides.
 """
 
 from __future__ import annotations
@@ -24,7 +27,6 @@ from __future__ import annotations
 import base64
 import functools
 import struct
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +46,16 @@ LENGTH = 512
 SHARD = 16_384
 KEY = 20240712
 ROUNDS = 6
-PIECE = 1 << 20
+PIECE = 1 << 19
+SLOTS = 1 << 20        # words that a worker can remember
+POOL = 1 << 23         # and their tokens
+WORD_BYTES = 64        # longer words are not remembered
 NO_ID = -(1 << 63)
+_END = np.uint16(END).tobytes()
+# Bytes that may end, or begin, a white space character; taking more of them only cuts less.
+_SPACE_ENDS, _SPACE_BEGINS = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE_ENDS[[*range(0x09, 0x0E), *range(0x1C, 0x21), *range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_SPACE_BEGINS[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 _HEAD = np.dtype([("doc_id", "<i8"), ("part", "<i4"), ("n_tokens", "<i4")])
 
 
@@ -80,19 +90,119 @@ def permuted(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _joined(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all ranges, one after the other."""
+    out = np.repeat(first - np.cumsum(size) + size, size)
+    out += np.arange(len(out))
+    return out
+
+
+class _Words:
+    """Tokens of words by their hash, each in the only slot it can have; later words replace earlier ones."""
+
+    def __init__(self, tokenizer) -> None:
+        self.encode = tokenizer.encode_ordinary
+        known = tokenizer.token_byte_values()
+        ids = [tokenizer.encode_single_token(t) for t in known]
+        self.size = np.zeros(max(ids) + 1, np.int64)
+        self.size[ids] = [len(t) for t in known]
+        self.begin = np.zeros(max(ids) + 1, np.int64)
+        self.begin[ids] = np.cumsum(self.size[ids]) - self.size[ids]
+        self.bytes = np.frombuffer(b"".join(known), np.uint8)
+        self.hash = np.zeros(SLOTS, np.uint64)
+        self.first = np.zeros(SLOTS, np.int32)
+        self.count = np.zeros(SLOTS, np.int32)
+        self.pool = np.zeros(POOL, np.uint16)
+        self.used = 0
+
+    def tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of all texts, how many stand before each text and after the last)."""
+        data, offsets = tokens.buffers(texts)
+        starts, plain, hashes = self._cut(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        first, count = self.first[slot].astype(np.int64), self.count[slot].astype(np.int64)
+        unknown = np.flatnonzero((self.hash[slot] != hashes) | (count == 0))
+        _, some, which = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+        some = unknown[some]
+        fresh, sizes = self._learned(data, starts[some], ends[some], plain[some])
+        begins = np.cumsum(sizes) - sizes
+        first[unknown], count[unknown] = begins[which] + POOL, sizes[which]
+        at = _joined(first, count)
+        old = at < POOL
+        out = np.empty(len(at), np.uint16)
+        out[old], out[~old] = self.pool[at[old]], fresh[at[~old] - POOL]
+        edges = np.append(0, np.cumsum(count))
+        bounds = edges[np.searchsorted(starts, offsets)]
+        size = self.size[out]
+        if size.sum() != len(data) or not np.array_equal(self.bytes[_joined(self.begin[out], size)], data) \
+                or not np.array_equal(np.append(0, np.cumsum(size))[edges[1:]], ends):
+            all_ = [self.encode(t) for t in texts.fill_null("").to_pylist()]   # two words of one hash
+            return (np.array([x for one in all_ for x in one], np.uint16),
+                    np.append(0, np.cumsum([len(one) for one in all_], dtype=np.int64)))
+        self._remember(hashes[some], slot[some], fresh, begins, sizes, ends[some] - starts[some] <= WORD_BYTES)
+        return out, bounds
+
+    @staticmethod
+    def _cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where words start, whether they may stand beside others, hashes); a word holds the space before it."""
+        cut = data == 0x20
+        cut[1:] &= ~_SPACE_ENDS[data[:-1]]
+        cut[:-1] &= ~_SPACE_BEGINS[data[1:]]
+        some = offsets[:-1][offsets[:-1] < offsets[1:]]
+        cut[some] = False
+        cut[offsets[1:][offsets[:-1] < offsets[1:]] - 1] = False
+        start = cut.copy()
+        start[some] = True
+        starts = np.flatnonzero(start)
+        inner = cut[starts]
+        plain = inner & np.append(inner[1:], False)[:len(inner)]
+        return starts, plain, tokens.stretches(data, starts)
+
+    def _learned(self, data, starts, ends, plain) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, their number) of words: those that may stand beside each other in one call."""
+        sizes = np.zeros(len(starts), np.int64)
+        beside, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
+        size = ends[beside] - starts[beside]
+        together = np.array(self.encode(data[_joined(starts[beside], size)].tobytes().decode()), np.uint16)
+        edges = np.searchsorted(np.cumsum(self.size[together]), np.cumsum(size)) + 1
+        sizes[beside] = np.diff(np.append(0, edges))
+        each = [self.encode(data[a:b].tobytes().decode()) for a, b in zip(starts[alone], ends[alone])]
+        sizes[alone] = [len(x) for x in each]
+        out = np.empty(sizes.sum(), np.uint16)
+        owner = np.repeat(plain, sizes)
+        out[owner], out[~owner] = together, [x for one in each for x in one]
+        return out, sizes
+
+    def _remember(self, hashes, slot, fresh, begins, sizes, short) -> None:
+        if self.used + len(fresh) > POOL:
+            self.count[:] = 0
+            self.used = 0
+        if len(fresh) > POOL:
+            return
+        self.pool[self.used:self.used + len(fresh)] = fresh
+        self.hash[slot[short]] = hashes[short]
+        self.first[slot[short]] = begins[short] + self.used
+        self.count[slot[short]] = sizes[short]
+        self.used += len(fresh)
+
+
+@functools.lru_cache(maxsize=2)
+def _words(path: str) -> _Words:
+    return _Words(_tokenizer(path))
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str):
-    """(ids, token arrays) of the pieces of a partition."""
-    encode = _tokenizer(vocabulary).encode_ordinary
+    """(ids, tokens of all texts, where those of each text begin) of the pieces of a partition."""
     for batch in batches:
         for piece in tokens.pieces(batch, "text", PIECE):
-            texts = piece.column("text").fill_null("").to_pylist()
-            yield piece.column("doc_id"), [encode(t) + [END] for t in texts]
+            yield piece.column("doc_id"), *_words(vocabulary).tokens(piece.column("text"))
 
 
 def part_counts(docs: DataFrame, vocabulary: str, length: int) -> dict[int, int]:
     """Parts of every input partition: one small row per task reaches the driver."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(-(-len(t) // length) for _, all_ in _encoded(batches, vocabulary) for t in all_)
+        n = sum(int((np.diff(bounds) // length + 1).sum()) for _, _, bounds in _encoded(batches, vocabulary))
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()]), pa.array([n])], ["partition", "n"])
 
@@ -123,14 +233,14 @@ def slotted(
         at = firsts.get(partition, 0)
         end = at + counts.get(partition, 0)
         pack, pack_head = zstandard.ZstdCompressor(level=1).compress, struct.Struct("<qii").pack
-        for ids, all_ in _encoded(batches, vocabulary):
-            records = []
-            for doc_id, ids_ in zip(ids.to_pylist(), all_):
-                whole = array("H", ids_)
-                for part, start in enumerate(range(0, len(whole), length)):
-                    held = whole[start:start + length]
-                    head = pack_head(NO_ID if doc_id is None else doc_id, part, len(held))
-                    records.append(pack(head + held.tobytes()))
+        for ids, all_, bounds in _encoded(batches, vocabulary):
+            records, all_ = [], all_.tobytes()
+            for doc_id, a, b in zip(ids.to_pylist(), (2 * bounds[:-1]).tolist(), (2 * bounds[1:]).tolist()):
+                whole = all_[a:b] + _END
+                for part, start in enumerate(range(0, len(whole), 2 * length)):
+                    held = whole[start:start + 2 * length]
+                    head = pack_head(NO_ID if doc_id is None else doc_id, part, len(held) // 2)
+                    records.append(pack(head + held))
             numbers = np.arange(at, at + len(records))
             at += len(records)
             if at > end:
