@@ -515,6 +515,32 @@ def test_nearest_is_exact():
         assert (np.abs(full[example] - cosine) < 1e-9).all()
 
 
+@pytest.mark.parametrize("whole", [0, 1 << 17])
+def test_postings_added_up_at_once_or_by_blocks(monkeypatch, whole):
+    """Both ways find the same examples and skip the same blocks; few postings are not chosen by blocks."""
+    rng = np.random.default_rng(3)
+    n, terms = 2000, 3000
+    row = np.repeat(np.arange(n), 12)
+    term = np.concatenate([rng.choice(np.arange(g % 4, terms, 4), 12, replace=False) for g in range(n)])
+    order = np.lexsort((term, row))
+    row, term = row[order], term[order]
+    w = toxicity.weights(row, term, rng.integers(1, 4, len(row)), rng.random(terms) + 0.5)
+    index = toxicity.Index.build(row, term, w, terms, np.zeros(n), np.ones(n), np.arange(n))
+    added = []
+    add = index._add
+    monkeypatch.setattr(index, "_add", lambda *given: added.append(1) or add(*given))
+    for i in range(0, n, 100):
+        mine = slice(12 * i, 12 * i + 12)
+        found = []
+        for most in (whole, 1 << 30):
+            monkeypatch.setattr(toxicity, "WHOLE", most)
+            added.clear()
+            found.append(index.search(term[mine], w[mine]))
+            assert bool(added) == (most == 0)
+        assert all(np.array_equal(a, b) for a, b in zip(*found))
+        assert found[0][1][0] == np.flatnonzero(index.names == i)[0] and found[0][0][0] > 0.999
+
+
 def test_toxicity_from_texts_to_scores(spark):
     """Term weights, cosines, votes and scores against plain loops; blocks are skipped."""
     rng = random.Random(8)

@@ -46,6 +46,7 @@ COMMON = 1024          # terms in most examples, kept as a matrix too
 TOGETHER = 256         # texts multiplied at once
 BLOCK = 64             # examples in a block
 AHEAD = 5              # one block in so many is added up before the first floor is known
+WHOLE = 1 << 17        # postings of a text up to which they are added up at once
 MARGIN = 1e-4          # above the error of a product in single precision
 POWER = 2              # of the cosine in a vote
 SOFTEN = 0.1           # added to a distance before it divides a vote
@@ -54,11 +55,13 @@ PIECE = 1 << 20
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers from ``first`` to before ``last``, and the sizes of the ranges."""
+    """All numbers from ``first`` to before ``last``, and the range that each is of."""
     size = np.subtract(last, first, dtype=np.int64)
-    out = np.repeat(first - np.cumsum(size) + size, size)
+    end = np.cumsum(size)
+    of = np.repeat(np.arange(len(size)), size)
+    out = (first - end + size)[of]
     out += np.arange(len(out))
-    return out, size
+    return out, of
 
 
 # --- vectors -----------------------------------------------------------------------
@@ -171,11 +174,11 @@ class Index:
 
     @cached_property
     def own(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same postings by example, for the exact cosines of a few: (edges, term, posting)."""
+        """The same postings by example, for the exact cosines of a few: (edges, term, weight)."""
         by = np.argsort(self.example, kind="stable").astype(np.int32)
         edges = np.searchsorted(self.example[by], np.arange(self.blocks * BLOCK + 1))
         term = np.repeat(np.arange(len(self.column), dtype=np.int32), np.diff(self.first[self.entries]))
-        return edges, term[by], by
+        return edges, term[by], self.weight[by]   # side by side: the exact cosines read whole examples
 
     @cached_property
     def _query(self) -> np.ndarray:
@@ -200,8 +203,9 @@ class Index:
                common: np.ndarray | None = None):
         """(cosine, example, blocks not looked at): the ``k`` nearest, exactly.
 
-        Postings of the blocks with the greatest bounds are added up first. The ``k``-th cosine
-        found is a floor for the others: a block whose bound is below it is skipped. Single
+        The blocks with the greatest bounds are looked at first. The ``k``-th cosine found is a
+        floor for the others: a block whose bound is below it is skipped. Up to ``WHOLE`` postings
+        are added up for all blocks at once, which costs less than to choose those of some. Single
         precision only chooses: the cosines of all examples within its error of the floor are
         computed anew from their own vectors.
         """
@@ -210,21 +214,25 @@ class Index:
         common = common.reshape(-1, BLOCK)
         blocks = len(common)
         others = np.flatnonzero(self.column[terms] < 0)
-        entry, size = _ranges(self.entries[terms[others]], self.entries[terms[others] + 1])
-        factor = np.repeat(query[others], size)
+        entry, of = _ranges(self.entries[terms[others]], self.entries[terms[others] + 1])
+        factor = query[others][of]
         block = self.block[entry]
         bounds = np.bincount(block, factor * self.most[entry], blocks) + common.max(axis=1)
         open_ = np.flatnonzero(bounds > 0)
         open_ = open_[np.argsort(-bounds[open_], kind="stable")]
         about = np.zeros((blocks, BLOCK))
+        sums = self._sums(terms[others], query[others])
         looked, floor = 0, 0.0
         for ahead in (-(-blocks // AHEAD), len(open_)):
             some = open_[looked:max(ahead, looked)]
             some = some[bounds[some] >= floor - 2 * MARGIN]
             if not len(some):
                 break
-            self._add(about, entry, factor, block, some)
-            about[some] += common[some]
+            if sums is None:
+                self._add(about, entry, factor, block, some)
+                about[some] += common[some]
+            else:
+                about[some] = sums[some] + common[some]
             if skip >= 0:
                 about[skip // BLOCK, skip % BLOCK] = 0
             looked += len(some)
@@ -235,25 +243,35 @@ class Index:
         order = np.lexsort((self.names[near], -scores))[:k]
         return scores[order], near[order], blocks - looked
 
+    def _sums(self, terms: np.ndarray, query: np.ndarray) -> np.ndarray | None:
+        """All postings of ``terms`` added up, or None if they are many: those of a term stand together."""
+        first, last = self.first[self.entries[terms]], self.first[self.entries[terms + 1]]
+        if (last - first).sum(dtype=np.int64) > WHOLE:
+            return None
+        posting, of = _ranges(first, last)
+        added = query[of]
+        added *= self.weight[posting]
+        return np.bincount(self.example[posting], added, self.blocks * BLOCK).reshape(-1, BLOCK)
+
     def _add(self, scores, entry, factor, block, some) -> None:
         """Add the postings of ``entry`` in the blocks ``some``, times ``factor``."""
         chosen = np.zeros(len(scores), bool)
         chosen[some] = True
         mine = np.flatnonzero(chosen[block])
         entry = entry[mine]
-        posting, size = _ranges(self.first[entry], self.first[entry + 1])
-        added = np.repeat(factor[mine], size)
+        posting, of = _ranges(self.first[entry], self.first[entry + 1])
+        added = factor[mine][of]
         added *= self.weight[posting]
         scores += np.bincount(self.example[posting], added, scores.size).reshape(scores.shape)
 
     def cosines(self, examples: np.ndarray, terms: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Exact cosines of a few examples; equal vectors are added up in one order."""
-        edges, own_term, own = self.own
-        posting, size = _ranges(edges[examples], edges[examples + 1])
+        edges, own_term, own_weight = self.own
+        posting, of = _ranges(edges[examples], edges[examples + 1])
         self._query[terms] = query
-        parts = self._query[own_term[posting]] * self.weight[own[posting]]
+        parts = self._query[own_term[posting]] * own_weight[posting]
         self._query[terms] = 0
-        return np.bincount(np.repeat(np.arange(len(examples)), size), parts, len(examples))
+        return np.bincount(of, parts, len(examples))
 
     def vote(self, cosine: np.ndarray, example: np.ndarray, base: float) -> float:
         """Distance-weighted share of toxic neighbours, drawn towards ``base``.
