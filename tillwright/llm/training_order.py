@@ -46,9 +46,9 @@ LENGTH = 512
 SHARD = 16_384
 KEY = 20240712
 ROUNDS = 6
-PIECE = 1 << 19
-SLOTS = 1 << 20        # words that a worker can remember
-POOL = 1 << 23         # and their tokens
+PIECE = 1 << 18
+SLOTS = 1 << 19        # words that a worker can remember
+POOL = 1 << 22         # and their tokens
 WORD_BYTES = 64        # longer words are not remembered
 NO_ID = -(1 << 63)
 _END = np.uint16(END).tobytes()
@@ -111,7 +111,7 @@ class _Words:
         self.bytes = np.frombuffer(b"".join(known), np.uint8)
         self.hash = np.zeros(SLOTS, np.uint64)
         self.first = np.zeros(SLOTS, np.int32)
-        self.count = np.zeros(SLOTS, np.int32)
+        self.count = np.zeros(SLOTS, np.uint8)
         self.pool = np.zeros(POOL, np.uint16)
         self.used = 0
 
