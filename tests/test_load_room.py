@@ -127,7 +127,7 @@ def test_lines_meet_parts_while_they_are_narrow(spark, tables):  # noqa: F811
     assert any("p_partkey" in line for line in below) and not any("c_custkey" in line for line in below)
 
 
-@pytest.mark.parametrize("name", ["denormalised_append"])
+@pytest.mark.parametrize("name", ["interrupted_load", "denormalised_append"])
 def test_cleaned_rows_go_when_the_loads_are_done(spark, tables, monkeypatch, name):  # noqa: F811
     made = []
     real = workspace.materialize
@@ -141,3 +141,11 @@ def test_cleaned_rows_go_when_the_loads_are_done(spark, tables, monkeypatch, nam
     assert found and len(made) == 1 and made[0]
     path = spark._jvm.org.apache.hadoop.fs.Path(made[0][0])
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_what_ended_loads_left_is_swept_after_the_repeat(spark, tables, monkeypatch):  # noqa: F811
+    swept = []
+    real = commits.Log.sweep
+    monkeypatch.setattr(commits.Log, "sweep", lambda log: swept.append(real(log)) or swept[-1])
+    assert entry._QUERIES["interrupted_load"](spark, tables).count() == 1
+    assert len(swept) == 2 and all(swept)
