@@ -149,3 +149,20 @@ def test_what_ended_loads_left_is_swept_after_the_repeat(spark, tables, monkeypa
     monkeypatch.setattr(commits.Log, "sweep", lambda log: swept.append(real(log)) or swept[-1])
     assert entry._QUERIES["interrupted_load"](spark, tables).count() == 1
     assert len(swept) == 2 and all(swept)
+
+
+def test_raw_rows_go_when_they_are_standardized(spark, tables, monkeypatch):  # noqa: F811
+    seen = []
+    real = denormalise.run
+
+    def run(*args, **how):
+        path = spark._jvm.org.apache.hadoop.fs.Path(raw_at[0])
+        seen.append(path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path))
+        return real(*args, **how)
+    raw_at = []
+    layer = entry._raw_layer
+    monkeypatch.setattr(entry, "_raw_layer", lambda *a: (
+        raw_at.append((made := layer(*a)).inputFiles()[0].rsplit("/", 1)[0]), made)[1])
+    monkeypatch.setattr(denormalise, "run", run)
+    assert entry._QUERIES["pipeline_category_sales"](spark, tables).count() == 1
+    assert seen == [False]
