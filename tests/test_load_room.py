@@ -127,7 +127,7 @@ def test_lines_meet_parts_while_they_are_narrow(spark, tables):  # noqa: F811
     assert any("p_partkey" in line for line in below) and not any("c_custkey" in line for line in below)
 
 
-@pytest.mark.parametrize("name", ["interrupted_load", "denormalised_append", "replaced_load"])
+@pytest.mark.parametrize("name", ["interrupted_load", "denormalised_append", "replaced_load", "load_balance"])
 def test_cleaned_rows_go_when_the_loads_are_done(spark, tables, monkeypatch, name):  # noqa: F811
     made = []
     real = workspace.materialize
